@@ -5,18 +5,77 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .graph import label_scan, typed
+from .skew import salted_join
+
+PAIR_BUDGET = 10_000_000
+MAX_HUBS = 256
+
+
+def _light_cells(side1: DataFrame, side2: DataFrame, shared: DataFrame) -> DataFrame:
+    """Meetings per (i, o, country): all, and those without the mismatch."""
+    met = side1.join(shared, "e").join(side2, "e")
+    return met.groupBy("i", "o", "c").agg(
+        F.count("*").alias("n"), F.count_if(~F.col("bad")).alias("good"))
+
+
+def _hubs(side1: DataFrame, side2: DataFrame, shared: DataFrame, pair_budget: int) -> list:
+    """Shared nodes that would pair too many nodes, the largest ``MAX_HUBS`` at most."""
+    first = side1.groupBy("e").agg(F.count("*").alias("_d1"))
+    second = side2.groupBy("e").agg(F.count("*").alias("_d2"))
+    product = F.col("_d1").cast("double") * F.col("_d2")
+    return (first.join(second, "e").join(shared, "e").where(product > pair_budget)
+            .orderBy(product.desc(), "e").limit(MAX_HUBS).select("e", "c", "bad").collect())
+
+
+def _hub_cells(side1: DataFrame, side2: DataFrame, hubs: list, light: DataFrame) -> DataFrame:
+    """Meetings in hubs, for pairs that can match, without listing a hub's pairs.
+
+    A pair that meets in a hub matches only if it meets somewhere else too. Either that
+    is a light node, and the pair is in ``light``; or it is a second hub, and the pair is
+    found from two hubs that satisfy the condition, which makes it a true match. Hub
+    lists per node hold ``MAX_HUBS`` entries at most.
+    """
+    spark = light.sparkSession
+    ids = [h["e"] for h in hubs]
+    facts = spark.createDataFrame([(h["e"], h["c"], h["bad"]) for h in hubs],
+                                  "e long, c string, bad boolean")
+    of1 = side1.where(F.col("e").isin(ids)).groupBy("i").agg(F.collect_set("e").alias("_h1"))
+    of2 = side2.where(F.col("e").isin(ids)).groupBy("o").agg(F.collect_set("e").alias("_h2"))
+    matching = {(a["e"], b["e"]) for a in hubs for b in hubs
+                if a["e"] < b["e"] and a["c"] != b["c"] and (a["bad"] or b["bad"])}
+    pairs = light.select("i", "o").distinct()
+    if matching:
+        couples = spark.createDataFrame(sorted(matching), "x long, y long")
+
+        def holding(nodes: DataFrame, node: str, hubs_col: str) -> DataFrame:
+            x = nodes.select(node, F.explode(hubs_col).alias("x"), hubs_col)
+            return (x.join(F.broadcast(couples), "x")
+                    .where(F.array_contains(F.col(hubs_col), F.col("y"))).select(node, "x", "y"))
+
+        both = holding(of1, "i", "_h1").join(holding(of2, "o", "_h2"), ["x", "y"])
+        pairs = pairs.unionByName(both.select("i", "o")).distinct()
+    pairs = materialise(pairs, "pairs")
+    common = F.array_intersect("_h1", "_h2")
+    with_first = salted_join(pairs, of1, ["i"])
+    with_both = salted_join(with_first, of2, ["o"], spread_by=["i"])
+    return (with_both.select("i", "o", F.explode(common).alias("e"))
+            .join(F.broadcast(facts), "e").groupBy("i", "o", "c")
+            .agg(F.count("*").alias("n"), F.count_if(~F.col("bad")).alias("good")))
 
 
 def shared_pair_motif(nodes: DataFrame, edges: DataFrame, type1: str, type2: str,
-                      label1: str, label2: str, shared_label: str) -> DataFrame:
+                      label1: str, label2: str, shared_label: str,
+                      pair_budget: int = PAIR_BUDGET) -> DataFrame:
     """Matches of (i)-[type1]->(e)<-[type2]-(o) and (i)-[type1]->(e2)<-[type2]-(o) per (i, o).
 
     e and e2 must lie in different countries and at least one of them must have a
     jurisdiction other than its country code. Returns ``i, o, n_matches``.
 
     Inside one (i, o) the matching pairs are counted from sums: all pairs with different
-    countries, less those where neither entity has the mismatch.
+    countries, less those where neither entity has the mismatch. A shared node whose two
+    degrees multiply to more than ``pair_budget`` is a hub and its pairs are not listed.
     """
     shared = (label_scan(nodes, shared_label).where("countries is not null")
               .select(F.col("id").alias("e"), F.col("countries").alias("c"),
@@ -28,11 +87,16 @@ def shared_pair_motif(nodes: DataFrame, edges: DataFrame, type1: str, type2: str
              .distinct().join(firsts, "i", "left_semi"))
     side2 = (typed(edges, type2).select(F.col("src").alias("o"), F.col("dst").alias("e"))
              .distinct().join(seconds, "o", "left_semi"))
-    met = side1.join(shared, "e").join(side2, "e")
-    per_country = met.groupBy("i", "o", "c").agg(
-        F.count("*").alias("n"), F.count_if(~F.col("bad")).alias("good"))
+    hubs = _hubs(side1, side2, shared, pair_budget)
+    if hubs:
+        rest = ~F.col("e").isin([h["e"] for h in hubs])
+        light = materialise(_light_cells(side1.where(rest), side2.where(rest), shared), "cells")
+        cells = (light.unionByName(_hub_cells(side1, side2, hubs, light))
+                 .groupBy("i", "o", "c").agg(F.sum("n").alias("n"), F.sum("good").alias("good")))
+    else:
+        cells = _light_cells(side1, side2, shared)
     total, good = F.sum("n"), F.sum("good")
     pairs = (total * total - F.sum(F.col("n") * F.col("n"))
              - (good * good - F.sum(F.col("good") * F.col("good"))))
-    return (per_country.groupBy("i", "o").agg(pairs.alias("n_matches"))
+    return (cells.groupBy("i", "o").agg(pairs.alias("n_matches"))
             .where(F.col("n_matches") > 0))

@@ -1,13 +1,11 @@
-"""Shortest undirected paths between two node sets, level by level."""
+"""Shortest undirected paths between two node sets, level by level from both ends."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, write_scratch
 
 
 def undirected(edges: DataFrame) -> DataFrame:
@@ -17,47 +15,84 @@ def undirected(edges: DataFrame) -> DataFrame:
     return there.unionByName(back).where("node <> next").distinct()
 
 
+def reach(edges: DataFrame, sources: DataFrame, targets: DataFrame, source_hops: int,
+          target_hops: int, with_path: bool = False) -> DataFrame:
+    """Nodes around both sets with their distance: ``from_source, origin, node, hops``.
+
+    A breadth-first search moves all origins of both sets one hop per round. In an
+    undirected graph a neighbour of level t lies on level t − 1, t or t + 1, so a round
+    is checked against two levels only and not against everything visited. Each level is
+    written once to the shared folder: a round's plan reads files and does not grow.
+
+    ``with_path`` adds the smallest shortest path in list order, from source to node or
+    from node to target.
+    """
+    spark = edges.sparkSession
+    adjacency = materialise(undirected(edges), "adjacency")
+    key = ["from_source", "origin", "node"]
+
+    def seeds(ids: DataFrame, from_source: bool) -> DataFrame:
+        one = ids.select("id").distinct()
+        trail = [F.array("id").alias("path")] if with_path else []
+        return one.select(F.lit(from_source).alias("from_source"), F.col("id").alias("origin"),
+                          F.col("id").alias("node"), F.lit(0).alias("hops"), *trail)
+
+    start = seeds(sources, True).unionByName(seeds(targets, False))
+    folders, rows = [], 0
+    folder, rows = write_scratch(start, "level")
+    folders.append(folder)
+    for hops in range(1, max(source_hops, target_hops) + 1):
+        if rows == 0:
+            break
+        level = spark.read.schema(start.schema).parquet(folders[-1])
+        if hops > target_hops:
+            level = level.where("from_source")
+        seen = spark.read.schema(start.schema).parquet(*folders[-2:])
+        stepped = level.join(adjacency, "node")
+        moved = [F.col("from_source"), F.col("origin"), F.col("next").alias("node")]
+        if with_path:
+            onward = F.when(F.col("from_source"), F.concat("path", F.array("next"))).otherwise(
+                F.concat(F.array("next"), F.col("path")))
+            fresh = (stepped.select(*moved, onward.alias("path"))
+                     .groupBy(*key).agg(F.min("path").alias("path")))
+        else:
+            fresh = stepped.select(*moved).distinct()
+        fresh = (fresh.join(seen.select(*key), key, "left_anti").withColumn("hops", F.lit(hops))
+                 .select(*start.columns))
+        folder, rows = write_scratch(fresh, "level")
+        folders.append(folder)
+    return spark.read.schema(start.schema).parquet(*folders)
+
+
 def shortest_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops: int = 30,
                    min_hops: int = 0, with_path: bool = False) -> DataFrame:
     """``(source, target, hops)`` for pairs at distance ``min_hops`` … ``max_hops``.
 
-    ``sources`` and ``targets`` hold an ``id`` column. A breadth-first search moves all
-    sources one hop per round. In an undirected graph a neighbour of level t lies on
-    level t − 1, t or t + 1, so a round is checked against two levels only and not
-    against everything visited. Each level is written once to the shared folder; a
-    round's plan reads files and does not grow.
+    ``sources`` and ``targets`` hold an ``id`` column. Both ends are searched for half
+    the hops and meet in the middle: a shortest path of d hops has one node that is
+    ceil(d / 2) hops from the source and floor(d / 2) from the target, and no meeting
+    gives less than the distance. The state is one row per origin and node within half
+    the hops, and each joined row is a connected pair.
 
     ``with_path`` adds the path as a list of node ids, the smallest one in list order
     among the shortest.
-
-    The state is (source, reached node) pairs: up to sources × reachable nodes.
     """
-    adjacency = materialise(undirected(edges), "adjacency")
-    carried = ["path"] if with_path else []
-    start = sources.select("id").distinct().select(
-        F.col("id").alias("source"), F.col("id").alias("node"),
-        *([F.array("id").alias("path")] if with_path else []))
-    level = materialise(start, "level")
-    previous = None
-    goal = targets.select(F.col("id").alias("node")).distinct()
-    found = []
-    for hops in range(max_hops + 1):
-        if hops >= min_hops:
-            found.append(level.join(goal, "node", "left_semi").select(
-                "source", F.col("node").alias("target"), F.lit(hops).alias("hops"), *carried))
-        if hops == max_hops:
-            break
-        stepped = level.join(adjacency, "node").select(
-            "source", F.col("next").alias("node"),
-            *([F.concat("path", F.array("next")).alias("path")] if with_path else []))
-        seen = level if previous is None else level.unionByName(previous)
-        fresh = (stepped.groupBy("source", "node").agg(F.min("path").alias("path"))
-                 if with_path else stepped.distinct())
-        fresh = fresh.join(seen.select("source", "node"), ["source", "node"], "left_anti")
-        previous, level = level, materialise(fresh, "level")
-        if level.isEmpty():
-            break
-    if not found:
-        schema = "source long, target long, hops int" + (", path array<long>" if with_path else "")
-        return edges.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, found)
+    found = reach(edges, sources, targets, (max_hops + 1) // 2, max_hops // 2, with_path)
+    ends = found.where("from_source").select(
+        F.col("origin").alias("source"), "node", F.col("hops").alias("there"),
+        # the target is as far from the meeting node, or one hop nearer
+        F.explode(F.array("hops", F.col("hops") - 1)).alias("back"),
+        *([F.col("path").alias("head")] if with_path else []))
+    starts = found.where("not from_source").select(
+        F.col("origin").alias("target"), "node", F.col("hops").alias("back"),
+        *([F.col("path").alias("tail")] if with_path else []))
+    met = ends.join(starts, ["node", "back"])
+    length = F.col("there") + F.col("back")
+    if with_path:
+        whole = F.concat("head", F.slice("tail", F.lit(2), F.size("tail")))
+        best = F.min(F.struct(length.alias("hops"), whole.alias("path")))
+        pairs = met.groupBy("source", "target").agg(best.alias("_b")).select(
+            "source", "target", "_b.hops", "_b.path")
+    else:
+        pairs = met.groupBy("source", "target").agg(F.min(length).alias("hops"))
+    return pairs.where(F.col("hops").between(min_hops, max_hops))

@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scores import chi2_score
-from ..functions.text import distinct_terms, tokens, without
+from ..functions.text import distinct_terms, tokens
 from .ordering import top_k_per_group
 from .skew import anti_join, lookup_join
 
@@ -41,24 +41,20 @@ def term_counts(df: DataFrame, text_col: str, stopwords: list[str],
     """One row per document and distinct term with the number of occurrences.
 
     A document is one row, so counting needs no shuffle: its tokens are sorted inside
-    the row and run lengths read off.
+    the row and run lengths read off. Stop words go last, when each is a single row.
     """
     kept = [c for c in df.columns if c != text_col]
-    raw = tokens(F.col(text_col))
-    if stopwords:
-        stop = F.array(*[F.lit(w) for w in stopwords])
-        raw = F.filter(raw, lambda w: ~F.array_contains(stop, w))
-    sorted_rows = df.select(*kept, F.sort_array(raw).alias("_s")).where(F.size("_s") > 0)
-    s = F.col("_s")
-    positions = F.sequence(F.lit(0), F.size(s) - 1)
-    starts = F.filter(positions, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-    with_starts = sorted_rows.select(*kept, "_s", starts.alias("_from"))
-    begin = F.col("_from")
+    s, begin = F.col("_sorted"), F.col("_begin")
+    with_tokens = df.select(*kept, F.sort_array(tokens(F.col(text_col))).alias("_sorted"))
+    # positions where a run begins; a document without tokens yields one null term here
+    starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
+                      lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
     runs = F.transform(begin, lambda at, k: F.struct(
-        F.get(s, at).alias("term"),
-        (F.coalesce(F.get(begin, k + 1), F.size(s)) - at).cast("long").alias("tf")))
-    return (with_starts.select(*kept, F.explode(runs).alias("_run"))
-            .select(*kept, F.col("_run.term").alias(term_col), F.col("_run.tf").alias(count_col)))
+        F.get(s, at).alias(term_col),
+        (F.coalesce(F.get(begin, k + 1), F.size(s)) - at).cast("long").alias(count_col)))
+    out = (with_tokens.withColumn("_begin", starts).select(*kept, F.inline(runs))
+           .where(F.col(term_col).isNotNull()))
+    return out.where(~F.col(term_col).isin(stopwords)) if stopwords else out
 
 
 def category_freq(df: DataFrame, category_col: str = "category") -> DataFrame:

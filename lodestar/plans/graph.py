@@ -110,6 +110,28 @@ def graph_shortest_paths(t):
         "source", "target", F.col("hops").cast("long").alias("hops"))
 
 
+@query(f"""with recursive {_BOTH_WAYS},
+    walk as (select id as source, id as node, 0 as hops, [id] as path from nodes
+             where label = 'Other' and (id - {_START}) % 40 = 0
+             union all
+             select source, b, hops + 1, list_append(path, b) from walk join links on a = node
+             where hops < 30 and not list_contains(path, b)),
+    best as (select source, node, min(hops) as hops from walk
+             where (node - {_START}) % 40 = 20 group by source, node having min(hops) >= 16
+             order by source, node limit 1),
+    hit as (select min(w.path) as path from walk w join best b
+            on w.source = b.source and w.node = b.node and w.hops = b.hops)
+    select source, node as target, hops::bigint as hops,
+        array_to_string((select path from hit), '>') as path from best""")
+def graph_shortest_path_first(t):
+    """The first such pair with the nodes of its path."""
+    found = paths.shortest_paths(graph.typed(t.edges, "LINKED"), _linked(t, 0), _linked(t, 20),
+                                 max_hops=30, min_hops=16, with_path=True)
+    shown = F.array_join(F.col("path").cast("array<string>"), ">")
+    return ordered_limit(found.select("source", "target", F.col("hops").cast("long").alias("hops"),
+                                      shown.alias("path")), [F.asc("source"), F.asc("target")], 1)
+
+
 @query("""select name, count(*) as n from nodes where label = 'Intermediary' group by name
     having count(*) > 1""")
 def graph_unique_check(t):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import DELIMITERS, STOPWORDS
 from ..operators import classification, features, terms
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources.readers import TERM_SCHEMA, decode_terms, read_reviews
 from .registry import query
 
@@ -44,8 +44,12 @@ _TOP = f"""{_SCORES}, top as (
         from scores where chi2 is not null) where "rank" <= {TOP_K})"""
 
 
+def _texts(t):
+    return spread(t.reviews, "review_id")
+
+
 def _terms(t):
-    return terms.tokenize_terms(t.reviews, "review_text", STOPWORDS)
+    return terms.tokenize_terms(_texts(t), "review_text", STOPWORDS)
 
 
 def _docs(t):
@@ -53,7 +57,7 @@ def _docs(t):
 
 
 def _counts(t):
-    return terms.term_counts(t.reviews, "review_text", STOPWORDS)
+    return terms.term_counts(_texts(t), "review_text", STOPWORDS)
 
 
 def _top(t):
@@ -77,7 +81,7 @@ def tokenize_terms(t):
     select distinct review_id, category, lower(term) as term from raw
     where term <> '' and term not in ({_STOP})""")
 def tokenize_terms_stop_first(t):
-    return terms.tokenize_terms(t.reviews, "review_text", STOPWORDS, stop_before_fold=True)
+    return terms.tokenize_terms(_texts(t), "review_text", STOPWORDS, stop_before_fold=True)
 
 
 @query("select category, count(*) as n_docs from reviews group by category")
@@ -163,7 +167,7 @@ def term_records_json(t):
 def ml_tokens(t):
     stages = Pipeline(stages=classification.tokenising_stages("review_text", STOPWORDS))
     tokens = F.col("filteredTerms")
-    return (stages.fit(t.reviews).transform(t.reviews)
+    return (stages.fit(t.reviews).transform(_texts(t))
             .select("review_id", F.size(tokens).cast("long").alias("n_tokens"),
                     F.array_join(tokens, " ").alias("tokens")))
 
@@ -236,7 +240,7 @@ def f1_weighted(t):
 
 
 def _predictions(t, kind):
-    flagged = features.hash_split(t.reviews, "review_id")
+    flagged = features.hash_split(_texts(t), "review_id")
     return classification.class_predictions(flagged, "review_id", "review_text", "category", kind)
 
 

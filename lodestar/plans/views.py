@@ -9,6 +9,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BASE = ("region nation customer supplier part orders lineitem events documents embeddings "
         "pages benchmark labels conversations").split()
@@ -23,9 +24,15 @@ class Tables:
         self.spark = spark
         self.path = path
 
+    def _read(self, path: str) -> DataFrame:
+        """The schema is taken from a file footer once per session and path."""
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE:
-            value = self.spark.read.parquet(os.path.join(self.path, f"{name}.parquet"))
+            value = self._read(os.path.join(self.path, f"{name}.parquet"))
         elif name in VIEWS:
             value = VIEWS[name](self)
         else:
@@ -34,6 +41,9 @@ class Tables:
         return value
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def _k(column: str = "props"):
     """The number inside an event's properties."""
     return F.regexp_extract(column, "[0-9]+", 0).cast("long")

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -44,6 +45,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a scan with fewer files than cores, hashed to all cores.
+
+    One row group is one task, so a single file would leave the other cores idle in
+    CPU-heavy work. A large table has more files and is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+
+
+def write_scratch(df: DataFrame, name: str) -> tuple[str, int]:
+    """Writes ``df`` to a new folder; returns the path and the number of rows written."""
+    path = scratch_path(df.sparkSession, name)
+    counted = Observation()
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    return path, counted.get["rows"]
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -51,6 +70,5 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     and not a replay of all rounds. Being files, the result also has a true size,
     which lets the planner choose join methods on facts.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    path, _ = write_scratch(df, name)
     return df.sparkSession.read.schema(df.schema).parquet(path)
