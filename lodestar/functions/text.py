@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: delimiter alternatives that every term-based result depends on. The last
-# one is a pipe followed by a slash; neither of the two splits on its own.
-DELIMITERS = r"""\s|\d|\.|!|\?|,|;|:|\(|\)|\[|]|\{|}|-|_|"|`|~|#|&|\*|%|\$|\|/"""
+# Fixed value: the delimiters that every term-based result depends on. All are single
+# characters (matched as one class, which is several times faster than alternatives) but
+# the last: a pipe followed by a slash. Neither of these two splits on its own.
+DELIMITERS = r"""[\s\d.!?,;:()\[\]{}\-_"`~#&*%$]|\|/"""
 
 # Variant in which a single pipe and a single slash split too.
 DELIMITERS_PIPE_SLASH = DELIMITERS + r"|\||/"

@@ -44,11 +44,14 @@ def _count_and_bounds(df: DataFrame, col: str, buckets: int) -> tuple[int, list]
 
 
 def bucket_of(col: Column, bounds: list) -> Column:
-    """Number of cut points below the value: 0 for the first bucket."""
+    """Number of cut points below the value (0 for the first bucket), by bisection."""
     if not bounds:
         return F.lit(0)
     cuts = F.array(*[F.lit(b) for b in bounds])
-    return F.size(F.filter(cuts, lambda cut: cut < col))
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+    # a step beyond the last cut reads null and is not taken
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(cuts, at + step - 1) < col, at + step).otherwise(at))
 
 
 def values_at_ranks(df: DataFrame, col: str, ranks: Callable[[int], list[int]],

@@ -38,29 +38,28 @@ def reach(edges: DataFrame, sources: DataFrame, targets: DataFrame, source_hops:
                           F.col("id").alias("node"), F.lit(0).alias("hops"), *trail)
 
     start = seeds(sources, True).unionByName(seeds(targets, False))
-    folders, rows = [], 0
-    folder, rows = write_scratch(start, "level")
-    folders.append(folder)
+    folders = [write_scratch(start, "level")]
     for hops in range(1, max(source_hops, target_hops) + 1):
-        if rows == 0:
-            break
         level = spark.read.schema(start.schema).parquet(folders[-1])
+        # an empty level only makes empty ones, so a look now and then is enough
+        if hops % 4 == 1 and level.isEmpty():
+            break
         if hops > target_hops:
             level = level.where("from_source")
         seen = spark.read.schema(start.schema).parquet(*folders[-2:])
         stepped = level.join(adjacency, "node")
-        moved = [F.col("from_source"), F.col("origin"), F.col("next").alias("node")]
+        # rounds differ in file names only, so compiled code is shared between them
+        moved = [F.col("from_source"), F.col("origin"), F.col("next").alias("node"),
+                 (F.col("hops") + 1).alias("hops")]
         if with_path:
             onward = F.when(F.col("from_source"), F.concat("path", F.array("next"))).otherwise(
                 F.concat(F.array("next"), F.col("path")))
             fresh = (stepped.select(*moved, onward.alias("path"))
-                     .groupBy(*key).agg(F.min("path").alias("path")))
+                     .groupBy(*key, "hops").agg(F.min("path").alias("path")))
         else:
             fresh = stepped.select(*moved).distinct()
-        fresh = (fresh.join(seen.select(*key), key, "left_anti").withColumn("hops", F.lit(hops))
-                 .select(*start.columns))
-        folder, rows = write_scratch(fresh, "level")
-        folders.append(folder)
+        fresh = fresh.join(seen.select(*key), key, "left_anti").select(*start.columns)
+        folders.append(write_scratch(fresh, "level"))
     return spark.read.schema(start.schema).parquet(*folders)
 
 

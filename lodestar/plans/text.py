@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
-from ..functions.text import DELIMITERS, STOPWORDS
+from ..functions.text import STOPWORDS
 from ..operators import classification, features, terms
 from ..session import scratch_path, spread
 from ..sources.readers import TERM_SCHEMA, decode_terms, read_reviews
@@ -14,11 +14,14 @@ from .registry import query
 
 TOP_K = 200
 
+# the delimiters once more, as alternatives, for the SQL side
+_SPLIT = r"""\s|\d|\.|!|\?|,|;|:|\(|\)|\[|]|\{|}|-|_|"|`|~|#|&|\*|%|\$|\|/"""
+
 _STOP = ", ".join(f"'{w}'" for w in STOPWORDS)
 
 # all tokens of every review, then the set of terms per review
 _RAW = f"""raw as (
-    select review_id, category, unnest(string_split_regex(lower(review_text), '{DELIMITERS}')) as term
+    select review_id, category, unnest(string_split_regex(lower(review_text), '{_SPLIT}')) as term
     from reviews)"""
 _TOKENS = f"""{_RAW}, toks as (
     select distinct review_id, category, term from raw
@@ -158,8 +161,8 @@ def term_records_json(t):
 
 
 @query(f"""with pos as (select review_id,
-        unnest(string_split_regex(lower(review_text), '{DELIMITERS}')) as term,
-        generate_subscripts(string_split_regex(lower(review_text), '{DELIMITERS}'), 1) as i
+        unnest(string_split_regex(lower(review_text), '{_SPLIT}')) as term,
+        generate_subscripts(string_split_regex(lower(review_text), '{_SPLIT}'), 1) as i
         from reviews)
     select review_id, count(term) filter (term <> '' and term not in ({_STOP})) as n_tokens,
         coalesce(string_agg(term, ' ' order by i) filter (term <> '' and term not in ({_STOP})), '') as tokens

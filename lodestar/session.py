@@ -6,8 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -55,12 +54,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
 
 
-def write_scratch(df: DataFrame, name: str) -> tuple[str, int]:
-    """Writes ``df`` to a new folder; returns the path and the number of rows written."""
+def write_scratch(df: DataFrame, name: str) -> str:
+    """Writes ``df`` to a new folder of the shared directory; returns the path."""
     path = scratch_path(df.sparkSession, name)
-    counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return path, counted.get["rows"]
+    df.write.parquet(path)
+    return path
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -70,5 +68,4 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     and not a replay of all rounds. Being files, the result also has a true size,
     which lets the planner choose join methods on facts.
     """
-    path, _ = write_scratch(df, name)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_scratch(df, name))
