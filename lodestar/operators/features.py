@@ -6,6 +6,7 @@ Vocabulary size is not limited by what fits in a vector or in the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scores import inverse_doc_freq
@@ -45,11 +46,13 @@ def tfidf_weights(counts: DataFrame, docs: DataFrame, share: float = SHARE,
 
 
 def l2_normalised(weights: DataFrame, id_col: str) -> DataFrame:
-    """Weights divided by the document's Euclidean norm; a zero norm leaves them as they are."""
-    norms = weights.groupBy(id_col).agg(
-        F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"))
+    """Weights divided by the document's Euclidean norm; a zero norm leaves them as they are.
+
+    A window group is one document, so no larger than the text it came from.
+    """
+    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy(id_col)))
     unit = F.when(F.col("_norm") > 0, F.col("weight") / F.col("_norm")).otherwise(F.col("weight"))
-    return weights.join(norms, id_col).withColumn("weight", unit).drop("_norm")
+    return weights.withColumn("_norm", norm).withColumn("weight", unit).drop("_norm")
 
 
 def weighted_f1(df: DataFrame, label_col: str, pred_col: str) -> DataFrame:

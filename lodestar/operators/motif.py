@@ -65,6 +65,22 @@ def _hub_cells(side1: DataFrame, side2: DataFrame, hubs: list, light: DataFrame)
             .agg(F.count("*").alias("n"), F.count_if(~F.col("bad")).alias("good")))
 
 
+def _parts(nodes: DataFrame, edges: DataFrame, type1: str, type2: str, label1: str, label2: str,
+           shared_label: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Edges (i, e) and (o, e) between the right labels, and (e, c, bad) of the shared nodes."""
+    shared = (label_scan(nodes, shared_label).where("countries is not null")
+              .select(F.col("id").alias("e"), F.col("countries").alias("c"),
+                      F.coalesce(F.col("jurisdiction") != F.col("country_codes"),
+                                 F.lit(False)).alias("bad")))
+    firsts = label_scan(nodes, label1).select(F.col("id").alias("i"))
+    seconds = label_scan(nodes, label2).select(F.col("id").alias("o"))
+    side1 = (typed(edges, type1).select(F.col("src").alias("i"), F.col("dst").alias("e"))
+             .distinct().join(firsts, "i", "left_semi"))
+    side2 = (typed(edges, type2).select(F.col("src").alias("o"), F.col("dst").alias("e"))
+             .distinct().join(seconds, "o", "left_semi"))
+    return side1, side2, shared
+
+
 def shared_pair_motif(nodes: DataFrame, edges: DataFrame, type1: str, type2: str,
                       label1: str, label2: str, shared_label: str,
                       pair_budget: int = PAIR_BUDGET) -> DataFrame:
@@ -77,16 +93,7 @@ def shared_pair_motif(nodes: DataFrame, edges: DataFrame, type1: str, type2: str
     countries, less those where neither entity has the mismatch. A shared node whose two
     degrees multiply to more than ``pair_budget`` is a hub and its pairs are not listed.
     """
-    shared = (label_scan(nodes, shared_label).where("countries is not null")
-              .select(F.col("id").alias("e"), F.col("countries").alias("c"),
-                      F.coalesce(F.col("jurisdiction") != F.col("country_codes"),
-                                 F.lit(False)).alias("bad")))
-    firsts = label_scan(nodes, label1).select(F.col("id").alias("i"))
-    seconds = label_scan(nodes, label2).select(F.col("id").alias("o"))
-    side1 = (typed(edges, type1).select(F.col("src").alias("i"), F.col("dst").alias("e"))
-             .distinct().join(firsts, "i", "left_semi"))
-    side2 = (typed(edges, type2).select(F.col("src").alias("o"), F.col("dst").alias("e"))
-             .distinct().join(seconds, "o", "left_semi"))
+    side1, side2, shared = _parts(nodes, edges, type1, type2, label1, label2, shared_label)
     hubs = _hubs(side1, side2, shared, pair_budget)
     if hubs:
         rest = ~F.col("e").isin([h["e"] for h in hubs])
@@ -100,3 +107,33 @@ def shared_pair_motif(nodes: DataFrame, edges: DataFrame, type1: str, type2: str
              - (good * good - F.sum(F.col("good") * F.col("good"))))
     return (cells.groupBy("i", "o").agg(pairs.alias("n_matches"))
             .where(F.col("n_matches") > 0))
+
+
+def first_motif_match(nodes: DataFrame, edges: DataFrame, type1: str, type2: str,
+                      label1: str, label2: str, shared_label: str,
+                      pair_budget: int = PAIR_BUDGET) -> DataFrame:
+    """The smallest match in the order i, o, e, e2: one row, or none.
+
+    Only the shared nodes of the first matching pair are looked at, and those are reduced
+    by aggregates: a node has a partner if the other end of the country range differs.
+    """
+    args = (nodes, edges, type1, type2, label1, label2, shared_label)
+    pair = materialise(shared_pair_motif(*args, pair_budget=pair_budget)
+                       .orderBy("i", "o").limit(1).select("i", "o"), "first-pair")
+    side1, side2, shared = _parts(*args)
+    met = (side1.join(F.broadcast(pair), "i").join(side2, ["o", "e"]).join(shared, "e"))
+    met = materialise(met.select("i", "o", "e", "c", "bad"), "first-pair-nodes")
+    ends = met.agg(*[f(F.when(which, F.col("c"))).alias(name) for f, which, name in (
+        (F.min, F.lit(True), "lo"), (F.max, F.lit(True), "hi"),
+        (F.min, F.col("bad"), "bad_lo"), (F.max, F.col("bad"), "bad_hi"))])
+    span = ends.select(F.struct("*")).scalar()
+    # a node with the mismatch can take any partner, another one needs one that has it
+    lo = F.when(F.col("bad"), span["lo"]).otherwise(span["bad_lo"])
+    hi = F.when(F.col("bad"), span["hi"]).otherwise(span["bad_hi"])
+    first = (met.where((F.col("c") != lo) | (F.col("c") != hi))
+             .agg(F.min(F.struct("e", "i", "o", "c", "bad")).alias("m")).where("m is not null")
+             .select("m.i", "m.o", "m.e", F.col("m.c").alias("_c"), F.col("m.bad").alias("_bad")))
+    partner = met.select(F.col("e").alias("e2"), "i", "o", "c", "bad")
+    return (first.join(partner, ["i", "o"])
+            .where((F.col("c") != F.col("_c")) & (F.col("bad") | F.col("_bad")))
+            .groupBy("i", "o", "e").agg(F.min("e2").alias("e2")))

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 BUCKETS = 200
 
 
@@ -33,14 +35,9 @@ def quantile_bounds(df: DataFrame, col: str, buckets: int = BUCKETS) -> list:
     A mergeable sketch returns one small row. The cut points steer the balance of
     tasks only; results are the same for any cut points.
     """
-    return _count_and_bounds(df, col, buckets)[1]
-
-
-def _count_and_bounds(df: DataFrame, col: str, buckets: int) -> tuple[int, list]:
     steps = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.count(col).alias("n"),
-                 F.percentile_approx(col, steps, buckets * 20).alias("cuts")).first()
-    return row["n"], sorted(set(row["cuts"] or []))
+    row = df.agg(F.percentile_approx(col, steps, buckets * 20).alias("cuts")).first()
+    return sorted(set(row["cuts"] or []))
 
 
 def bucket_of(col: Column, bounds: list) -> Column:
@@ -50,8 +47,10 @@ def bucket_of(col: Column, bounds: list) -> Column:
     cuts = F.array(*[F.lit(b) for b in bounds])
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
     # a step beyond the last cut reads null and is not taken
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
         F.get(cuts, at + step - 1) < col, at + step).otherwise(at))
+    # never null, so a join on it infers no filter that would repeat the search in the scan
+    return F.coalesce(found, F.lit(0))
 
 
 def values_at_ranks(df: DataFrame, col: str, ranks: Callable[[int], list[int]],
@@ -59,16 +58,17 @@ def values_at_ranks(df: DataFrame, col: str, ranks: Callable[[int], list[int]],
     """Exact values at 1-based ranks: rows ``(pos, rank, value)``.
 
     ``ranks`` maps the number of non-null values to the wanted ranks; ``pos`` is the
-    position in that list. Equal values are counted first, so duplicates never travel.
-    Value buckets are then summed (one row per bucket) and only inside a bucket are
-    values ordered.
+    position in that list. Equal values are counted first, so duplicates never travel;
+    the counts are written once, so the table is read once. Value buckets are then
+    summed (one row per bucket) and only inside a bucket are values ordered.
     """
-    n, bounds = _count_and_bounds(df, col, buckets)
+    values = materialise(df.where(F.col(col).isNotNull())
+                         .groupBy(F.col(col).alias("value")).agg(F.count("*").alias("n")), "values")
+    n = values.agg(F.sum("n")).first()[0] or 0
+    bounds = quantile_bounds(values, "value", buckets)
     wanted = F.array(*[F.struct(F.lit(pos).alias("pos"), F.lit(rank).cast("long").alias("rank"))
                        for pos, rank in enumerate(ranks(n))])
-    counted = (df.where(F.col(col).isNotNull())
-               .groupBy(F.col(col).alias("value")).agg(F.count("*").alias("n"))
-               .withColumn("bucket", bucket_of(F.col("value"), bounds)))
+    counted = values.withColumn("bucket", bucket_of(F.col("value"), bounds))
     # at most `buckets` rows from here to the broadcast
     totals = counted.groupBy("bucket").agg(F.sum("n").alias("in_bucket"))
     before = totals.select("bucket", F.coalesce(F.sum("in_bucket").over(

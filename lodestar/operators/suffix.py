@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialise
 from .ordering import BUCKETS, bucket_of, quantile_bounds
 from .skew import salted_join
 
@@ -22,17 +23,17 @@ def suffix_table(left: DataFrame, lkey: str, right: DataFrame, rkey: str, value:
     keys are one row before any ordering, so a key shared by many rows costs nothing; a
     bucket is a quantile range of the keys and so about 1 / ``buckets`` of them.
     """
-    bounds = quantile_bounds(right, rkey, buckets)
     entries = (right.select(F.col(rkey).alias("key"), F.col(value).alias("v"),
                             F.lit(False).alias("asked"))
                .unionByName(left.select(F.col(lkey).alias("key"),
                                         F.lit(None).cast(right.schema[value].dataType).alias("v"),
                                         F.lit(True).alias("asked")))
                .where(F.col("key").isNotNull()))
-    keyed = (entries.groupBy("key").agg(
-                F.max("v").alias("mx"), F.sum("v").alias("sm"), F.count("v").alias("ct"),
-                F.bool_or("asked").alias("asked"))
-             .withColumn("bucket", bucket_of(F.col("key"), bounds)))
+    # written once: two branches read it, and the tables behind it are read once
+    per_key = materialise(entries.groupBy("key").agg(
+        F.max("v").alias("mx"), F.sum("v").alias("sm"), F.count("v").alias("ct"),
+        F.bool_or("asked").alias("asked")), "suffix-keys")
+    keyed = per_key.withColumn("bucket", bucket_of(F.col("key"), quantile_bounds(per_key, "key", buckets)))
     later = W.partitionBy("bucket").orderBy(F.desc("key")).rowsBetween(W.unboundedPreceding, -1)
     inside = keyed.select("key", "bucket", "asked",
                           F.max("mx").over(later).alias("in_max"),

@@ -71,17 +71,25 @@ def graph_top_expand(t):
     return graph.expand(t.edges, best, ["INTERMEDIARY_OF", "OFFICER_OF"])
 
 
-@query("""with m as (select distinct i.id as i, e.id as e, o.id as o, e.countries as c,
+_MOTIF = """with m as (select distinct i.id as i, e.id as e, o.id as o, e.countries as c,
             e.jurisdiction as j, e.country_codes as k
         from nodes i join edges x on x.src = i.id and x.type = 'INTERMEDIARY_OF'
         join nodes e on e.id = x.dst join edges y on y.dst = e.id and y.type = 'OFFICER_OF'
         join nodes o on o.id = y.src
         where i.label = 'Intermediary' and e.label = 'Entity' and o.label = 'Officer')
-    select a.i, a.o, count(*) as n_matches from m a join m b on a.i = b.i and a.o = b.o
-    where a.c <> b.c and (a.j <> a.k or b.j <> b.k) group by a.i, a.o""")
+    select {} from m a join m b on a.i = b.i and a.o = b.o
+    where a.c <> b.c and (a.j <> a.k or b.j <> b.k)"""
+_MOTIF_OF = ("INTERMEDIARY_OF", "OFFICER_OF", "Intermediary", "Officer", "Entity")
+
+
+@query(_MOTIF.format("a.i, a.o, count(*) as n_matches") + " group by a.i, a.o")
 def graph_motif(t):
-    return motif.shared_pair_motif(t.nodes, t.edges, "INTERMEDIARY_OF", "OFFICER_OF",
-                                   "Intermediary", "Officer", "Entity")
+    return motif.shared_pair_motif(t.nodes, t.edges, *_MOTIF_OF)
+
+
+@query(_MOTIF.format("a.i, a.o, a.e, b.e as e2") + " order by a.i, a.o, a.e, b.e limit 1")
+def graph_motif_first(t):
+    return motif.first_motif_match(t.nodes, t.edges, *_MOTIF_OF)
 
 
 _START = 5000000000

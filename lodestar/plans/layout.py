@@ -95,11 +95,12 @@ def static_partition_insert(t):
 @query("select posttypeid, id, owneruserid from posts where posttypeid > 2")
 def dynamic_partition_insert(t):
     """One folder per post type, made from the values in the rows."""
-    path = scratch_path(t.spark, "posts-by-type")
-    layout.write_partitioned(t.posts.select("id", "owneruserid", "posttypeid"), path,
-                             ["posttypeid"], files_per_value=8)
-    schema = T.StructType.fromDDL("id long, owneruserid long, posttypeid int")
-    return t.spark.read.schema(schema).parquet(path).where("posttypeid > 2")
+    table = _table_name("posts_partitioned")
+    layout.create_partitioned_table(t.spark, table, "id bigint, owneruserid bigint, posttypeid int",
+                                    "posttypeid")
+    layout.insert_dynamic_partitions(t.posts.select("posttypeid", "id", "owneruserid"), table,
+                                     ["posttypeid"], files_per_value=8)
+    return t.spark.table(table).where("posttypeid > 2")
 
 
 @query("""select posttypeid, count(*) as n, sum(reputation)::bigint as reputation

@@ -54,7 +54,8 @@ def join_residual(t):
 
 
 @query("""select id, posttypeid from posts p
-    where exists (select * from postlinks l where l.relatedpostid > p.id)""")
+    where exists (select * from (select distinct relatedpostid from postlinks) l
+                  where l.relatedpostid > p.id)""")
 def exists_greater(t):
     return relational.exists_greater(t.posts, "id", t.postlinks, "relatedpostid").select(
         "id", "posttypeid")
@@ -98,6 +99,24 @@ def top_upvoter_posts(t):
     return best.join(commented, "id", "left_semi").select("id")
 
 
+@query("""select p.id, count(*) as n from posts p, comments c, users u, badges b
+    where c.postid = p.id and u.id = p.owneruserid and u.id = b.userid
+    and u.upvotes in (select max(upvotes) from users u2 where u2.creationdate > p.creationdate)
+    and exists (select 1 from postlinks l where l.relatedpostid > p.id)
+    and b.name like 'signup' group by p.id""")
+def top_upvoter_post_rows(t):
+    """The same posts with the number of rows of the plain join, one per comment and badge.
+
+    Both numbers are counted per key and multiplied.
+    """
+    badges = (t.badges.where(F.col("name").like("signup"))
+              .groupBy(F.col("userid").alias("owneruserid")).agg(F.count("*").alias("n_badges")))
+    comments = t.comments.groupBy(F.col("postid").alias("id")).agg(F.count("*").alias("n_comments"))
+    best = top_upvoter_posts(t).join(t.posts.select("id", "owneruserid"), "id")
+    return best.join(badges, "owneruserid").join(comments, "id").select(
+        "id", (F.col("n_badges") * F.col("n_comments")).alias("n"))
+
+
 @query("""select h.id, (select count(*) from votes v where v.votetypeid = 3 and v.postid = h.postid)
     as n_votes from posthistory h""")
 def post_vote_gate(t):

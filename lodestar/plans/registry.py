@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import size_shuffles
 from .oracle import with_views
 from .views import Tables
 
@@ -19,6 +20,7 @@ def query(sql: str | None = None):
         name = build.__name__
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            size_shuffles(spark, sf_dir)
             return build(Tables(spark, sf_dir))
 
         QUERIES[name] = run

@@ -24,6 +24,11 @@ class Tables:
         self.spark = spark
         self.path = path
 
+    def register(self) -> None:
+        """All tables and views under their names, for use from SQL."""
+        for name in [*BASE, *VIEWS]:
+            getattr(self, name).createOrReplaceTempView(name)
+
     def _read(self, path: str) -> DataFrame:
         """The schema is taken from a file footer once per session and path."""
         if path not in _SCHEMAS:

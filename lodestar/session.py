@@ -16,6 +16,10 @@ SETTINGS = {
 }
 
 
+# folder of each local session that names none
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def get_session(app: str = "lodestar", **settings: str) -> SparkSession:
     """Session with adaptive execution on; a cluster's own settings stay in force."""
     builder = SparkSession.builder.appName(app)
@@ -24,6 +28,23 @@ def get_session(app: str = "lodestar", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, path: str, partition_bytes: int = 512 << 20,
+                  most: int = 20_000) -> int:
+    """Initial number of shuffle partitions for jobs over the folder ``path``.
+
+    Raised with the size of the data so that a partition fits an executor's memory, and
+    never lowered below the session's own number; adaptive execution puts small
+    partitions together again. ``most`` bounds the number of shuffle blocks.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    total = files.getContentSummary(folder).getLength()
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(own, min(total // partition_bytes, most))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
+    return wanted
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach: the one named by ``spark.checkpoint.dir``.
 
@@ -34,9 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="lodestar-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="lodestar-")
+    return _LOCAL_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -29,6 +29,21 @@ def insert_static_partition(df: DataFrame, table: str, partition: dict[str, int]
     df.sparkSession.sql(f"INSERT INTO {table} PARTITION ({clause}) SELECT * FROM {{rows}}", rows=df)
 
 
+def insert_dynamic_partitions(df: DataFrame, table: str, cols: list[str],
+                              files_per_value: int = 1) -> None:
+    """Insert into a partitioned table; each row's values say which partition it goes to."""
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_value))
+    first = [c for c in df.columns if c not in cols]
+    (df.select(*first, *cols).repartition(*[F.col(c) for c in cols], spread)
+     .write.insertInto(table))
+
+
+def collect_statistics(spark: SparkSession, table: str, cols: list[str] | None = None) -> None:
+    """Table and column statistics for the cost-based optimizer, all columns by default."""
+    which = f"COLUMNS {', '.join(cols)}" if cols else "ALL COLUMNS"
+    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR {which}")
+
+
 def create_partitioned_table(spark: SparkSession, table: str, columns: str, partition: str) -> None:
     """Parquet table below the shared folder, partitioned by one of its columns."""
     location = scratch_path(spark, table)

@@ -79,7 +79,7 @@ def test_text_sinks(spark, rows):
 def test_table_statistics(spark):
     """Statistics on a written table, as the planner's cost model wants them."""
     layout.write_bucketed(spark.range(50), "tb_stats", "id", 2)
-    spark.sql("ANALYZE TABLE tb_stats COMPUTE STATISTICS FOR COLUMNS id")
+    layout.collect_statistics(spark, "tb_stats", ["id"])
     facts = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED tb_stats id").collect()}
     assert facts["distinct_count"] == "50"
 
@@ -89,6 +89,23 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.scratch_path(spark, "x") != session.scratch_path(spark, "x")
 
 
+class Unset:
+    """A session without the setting."""
+
+    def __init__(self, master):
+        self.conf = self.sparkContext = self
+        self.master, self.applicationId = master, f"app-{master}"
+
+    def get(self, key, default):
+        return default
+
+
+def test_local_fallback_only_for_local_sessions():
+    assert session.shared_dir(Unset("local[2]")) == session.shared_dir(Unset("local[2]"))
+    with pytest.raises(RuntimeError):
+        session.shared_dir(Unset("spark://host:7077"))
+
+
 def test_favourites_and_ties(spark, rows):
     df = spark.createDataFrame(
         [(1, "b", 10), (1, "a", 11), (2, "a", 10), (2, "a", 10), (2, "b", 11), (3, "c", 10)],
