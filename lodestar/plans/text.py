@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
@@ -168,9 +168,9 @@ def term_records_json(t):
         coalesce(string_agg(term, ' ' order by i) filter (term <> '' and term not in ({_STOP})), '') as tokens
     from pos group by review_id""")
 def ml_tokens(t):
-    stages = Pipeline(stages=classification.tokenising_stages("review_text", STOPWORDS))
+    stages = PipelineModel(classification.tokenising_stages("review_text", STOPWORDS))
     tokens = F.col("filteredTerms")
-    return (stages.fit(t.reviews).transform(_texts(t))
+    return (stages.transform(_texts(t))
             .select("review_id", F.size(tokens).cast("long").alias("n_tokens"),
                     F.array_join(tokens, " ").alias("tokens")))
 
