@@ -67,7 +67,10 @@ def _hub_cells(side1: DataFrame, side2: DataFrame, hubs: list, light: DataFrame)
 
 def _parts(nodes: DataFrame, edges: DataFrame, type1: str, type2: str, label1: str, label2: str,
            shared_label: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Edges (i, e) and (o, e) between the right labels, and (e, c, bad) of the shared nodes."""
+    """Edges (i, e) and (o, e) between the right labels, and (e, c, bad) of the shared nodes.
+
+    The edges are written once, because several steps read them.
+    """
     shared = (label_scan(nodes, shared_label).where("countries is not null")
               .select(F.col("id").alias("e"), F.col("countries").alias("c"),
                       F.coalesce(F.col("jurisdiction") != F.col("country_codes"),
@@ -78,22 +81,11 @@ def _parts(nodes: DataFrame, edges: DataFrame, type1: str, type2: str, label1: s
              .distinct().join(firsts, "i", "left_semi"))
     side2 = (typed(edges, type2).select(F.col("src").alias("o"), F.col("dst").alias("e"))
              .distinct().join(seconds, "o", "left_semi"))
-    return side1, side2, shared
+    return materialise(side1, "side1"), materialise(side2, "side2"), shared
 
 
-def shared_pair_motif(nodes: DataFrame, edges: DataFrame, type1: str, type2: str,
-                      label1: str, label2: str, shared_label: str,
-                      pair_budget: int = PAIR_BUDGET) -> DataFrame:
-    """Matches of (i)-[type1]->(e)<-[type2]-(o) and (i)-[type1]->(e2)<-[type2]-(o) per (i, o).
-
-    e and e2 must lie in different countries and at least one of them must have a
-    jurisdiction other than its country code. Returns ``i, o, n_matches``.
-
-    Inside one (i, o) the matching pairs are counted from sums: all pairs with different
-    countries, less those where neither entity has the mismatch. A shared node whose two
-    degrees multiply to more than ``pair_budget`` is a hub and its pairs are not listed.
-    """
-    side1, side2, shared = _parts(nodes, edges, type1, type2, label1, label2, shared_label)
+def _matches(side1: DataFrame, side2: DataFrame, shared: DataFrame, pair_budget: int) -> DataFrame:
+    """Number of matches per (i, o)."""
     hubs = _hubs(side1, side2, shared, pair_budget)
     if hubs:
         rest = ~F.col("e").isin([h["e"] for h in hubs])
@@ -109,6 +101,22 @@ def shared_pair_motif(nodes: DataFrame, edges: DataFrame, type1: str, type2: str
             .where(F.col("n_matches") > 0))
 
 
+def shared_pair_motif(nodes: DataFrame, edges: DataFrame, type1: str, type2: str,
+                      label1: str, label2: str, shared_label: str,
+                      pair_budget: int = PAIR_BUDGET) -> DataFrame:
+    """Matches of (i)-[type1]->(e)<-[type2]-(o) and (i)-[type1]->(e2)<-[type2]-(o) per (i, o).
+
+    e and e2 must lie in different countries and at least one of them must have a
+    jurisdiction other than its country code. Returns ``i, o, n_matches``.
+
+    Inside one (i, o) the matching pairs are counted from sums: all pairs with different
+    countries, less those where neither entity has the mismatch. A shared node whose two
+    degrees multiply to more than ``pair_budget`` is a hub and its pairs are not listed.
+    """
+    parts = _parts(nodes, edges, type1, type2, label1, label2, shared_label)
+    return _matches(*parts, pair_budget)
+
+
 def first_motif_match(nodes: DataFrame, edges: DataFrame, type1: str, type2: str,
                       label1: str, label2: str, shared_label: str,
                       pair_budget: int = PAIR_BUDGET) -> DataFrame:
@@ -117,10 +125,9 @@ def first_motif_match(nodes: DataFrame, edges: DataFrame, type1: str, type2: str
     Only the shared nodes of the first matching pair are looked at, and those are reduced
     by aggregates: a node has a partner if the other end of the country range differs.
     """
-    args = (nodes, edges, type1, type2, label1, label2, shared_label)
-    pair = materialise(shared_pair_motif(*args, pair_budget=pair_budget)
+    side1, side2, shared = _parts(nodes, edges, type1, type2, label1, label2, shared_label)
+    pair = materialise(_matches(side1, side2, shared, pair_budget)
                        .orderBy("i", "o").limit(1).select("i", "o"), "first-pair")
-    side1, side2, shared = _parts(*args)
     met = (side1.join(F.broadcast(pair), "i").join(side2, ["o", "e"]).join(shared, "e"))
     met = materialise(met.select("i", "o", "e", "c", "bad"), "first-pair-nodes")
     ends = met.agg(*[f(F.when(which, F.col("c"))).alias(name) for f, which, name in (
