@@ -88,7 +88,7 @@ def having_equals_scalar(df: DataFrame, key_col: str, value_col: str, pred: Colu
 def single_value_keys(df: DataFrame, key_col: str, value_col: str, pred: Column) -> DataFrame:
     """Keys for which one value makes up all non-null values, with that value.
 
-    The reference form compares a (key, value) count with the key's count; those are
+    Put as a subquery, a (key, value) count is compared with the key's count. Those are
     equal exactly when smallest and largest value agree, which needs one aggregate.
     """
     return (df.where(pred & F.col(value_col).isNotNull()).groupBy(key_col)

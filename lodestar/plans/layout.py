@@ -31,16 +31,18 @@ def scan_shop_csv(t):
     return readers.read_csv_typed(t.spark, paths, schema, multi_line=False)
 
 
-@query("""select doc_id, lang, case when lang = 'fr' then null else n_chars end as n_chars, text
+@query("""select doc_id, lang, case when lang = 'fr' then -1 else n_chars end as n_chars, text
     from documents""")
 def typed_csv_load(t):
-    """Texts with quotes, commas and line breaks; the counts of one language are no numbers."""
+    """Texts with quotes, commas and line breaks; the counts of one language are no numbers
+    and read as null, shown as -1."""
     path = scratch_path(t.spark, "documents-csv")
     cell = F.when(F.col("lang") == "fr", "unknown").otherwise(F.col("n_chars").cast("string"))
     layout.write_csv(t.documents.select("doc_id", "lang", cell.alias("n_chars"), "text"), path,
                      escape='"', **_KEEP_SPACE)
     schema = T.StructType.fromDDL("doc_id long, lang string, n_chars long, text string")
-    return readers.read_csv_typed(t.spark, path, schema)
+    return readers.read_csv_typed(t.spark, path, schema).withColumn(
+        "n_chars", F.coalesce("n_chars", F.lit(-1)))
 
 
 @query("""select event_id, month(ts) as month, cast(epoch(date_trunc('second', ts)) as bigint) as seconds
@@ -59,7 +61,7 @@ def parse_timestamps(t):
 
 
 @query("""select name, (select count(*) from orders) as n_rows, (select count(*) from orders) as n_in_range,
-        top + 1 as n_values from (values ('a', 50), ('b', 50), ('d', 20)) k(name, top)""")
+        (top + 1)::bigint as n_values from (values ('a', 50), ('b', 50), ('d', 20)) k(name, top)""")
 def gen_uniform_ints(t):
     """Random rows, as many as there are orders; checked for range and for use of every value."""
     tops = {"a": 50, "b": 50, "d": 20}

@@ -29,7 +29,7 @@ def sum_nested(t):
     return nested.sum_nested(_documents(t), "id", "editions", "owned", "owned")
 
 
-@query("select book as id, edition, year, owned from edition where book in (select id from book)")
+@query("select book as id, edition, year::int as year, owned from edition where book in (select id from book)")
 def unnest_children(t):
     return nested.unnest_children(_documents(t), "id", "editions")
 

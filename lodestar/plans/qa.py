@@ -68,10 +68,11 @@ def _with_later_users(t, posts):
     return suffix.suffix_agg(keyed, "written", users, "born", "upvotes", spread_by=["id"])
 
 
-@query("""select id, (select max(upvotes) from users u where u.creationdate > p.creationdate) as suffix_max
-    from posts p""")
+@query("""select id, (select max(upvotes) from users u where u.creationdate > p.creationdate)::double
+    as suffix_max from posts p""")
 def suffix_max_join(t):
-    return _with_later_users(t, t.posts.select("id", "creationdate")).select("id", "suffix_max")
+    return _with_later_users(t, t.posts.select("id", "creationdate")).select(
+        "id", F.col("suffix_max").cast("double").alias("suffix_max"))
 
 
 @query("""select id, round((select avg(upvotes) from users u where u.creationdate > p.creationdate), 6)

@@ -112,7 +112,7 @@ def chi2_scores(t):
     return terms.chi2_scores(_terms(t), _docs(t))
 
 
-@query(f"with {_TOP} select category, term, chi2, \"rank\" from top")
+@query(f"with {_TOP} select category, term, chi2, \"rank\"::int as \"rank\" from top")
 def chi2_top_terms(t):
     return _top(t)
 

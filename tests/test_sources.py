@@ -26,6 +26,28 @@ def test_csv_keeps_quotes_commas_and_breaks(spark, tmp_path, rows):
         (1, 'a, "b"\nc', 5), (2, None, None), (3, "d", None)]
 
 
+def test_shop_log_by_position(spark, tmp_path, rows):
+    """Columns by place, whatever the header calls them; both months as one input."""
+    head = "event_time,event_type,product_id,category_id,category_code,brand,price,user_id,user_session\n"
+    october = write(tmp_path / "oct.csv", head
+                    + '2019-10-01 00:00:00 UTC,purchase,1,9,"a,b",acme,1.5,7,s\n'
+                    + "2019-10-02 00:00:00 UTC,purchase,2,9,c,,2.5,7,s\n"
+                    + ",purchase,3,9,c,acme,2.5,8,s\n")
+    november = write(tmp_path / "nov.csv", head
+                     + "2019-11-03 00:00:00 UTC,purchase,1,9,c,acme,oops,7,s\n"
+                     + "2019-11-03 00:00:00 UTC,view,1,9,c,best,1.0,8,s\n")
+    schema = T.StructType.fromDDL("at string, kind string, product long, category long, code string, "
+                                  "brand string, price double, user_id long, session string")
+    log = readers.read_csv_typed(spark, [october, november], schema, multi_line=False)
+    day = F.try_to_date(F.split("at", r"\s+")[0], "yyyy-MM-dd")
+    bought = (log.where("kind = 'purchase' and brand <> '' and product is not null")
+              .withColumn("month", F.month(day)).where("month is not null"))
+    assert rows(bought.select("user_id", "brand", "month", "price")) == [
+        (7, "acme", 10, 1.5), (7, "acme", 11, None)]
+    found = aggregates.strict_favourite_in_all(bought, "user_id", "brand", "month", [10, 11])
+    assert rows(aggregates.fan_counts(found, "brand")) == [("acme", 1)]
+
+
 def test_bad_rows_are_set_aside_whole(spark, tmp_path, rows):
     paths = [write(tmp_path / f"{n}.csv", f"id,n\n{n},1\nx{n},2\n") for n in (1, 2)]
     schema = T.StructType.fromDDL("id long, n int")
