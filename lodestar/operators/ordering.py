@@ -11,6 +11,13 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 BUCKETS = 200
+KEYS_PER_BUCKET = 5_000_000
+MOST_BUCKETS = 5_000
+
+
+def buckets_for(n_keys: int) -> int:
+    """Ordered ranges for so many distinct keys: one range is sorted by one task."""
+    return min(max(BUCKETS, n_keys // KEYS_PER_BUCKET), MOST_BUCKETS)
 
 
 def top_k_per_group(df: DataFrame, group_cols: list[str], order: list[Column], k: int,
@@ -54,7 +61,7 @@ def bucket_of(col: Column, bounds: list) -> Column:
 
 
 def values_at_ranks(df: DataFrame, col: str, ranks: Callable[[int], list[int]],
-                    buckets: int = BUCKETS) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Exact values at 1-based ranks: rows ``(pos, rank, value)``.
 
     ``ranks`` maps the number of non-null values to the wanted ranks; ``pos`` is the
@@ -64,8 +71,8 @@ def values_at_ranks(df: DataFrame, col: str, ranks: Callable[[int], list[int]],
     """
     values = materialise(df.where(F.col(col).isNotNull())
                          .groupBy(F.col(col).alias("value")).agg(F.count("*").alias("n")), "values")
-    n = values.agg(F.sum("n")).first()[0] or 0
-    bounds = quantile_bounds(values, "value", buckets)
+    n, n_keys = values.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    bounds = quantile_bounds(values, "value", buckets or buckets_for(n_keys))
     wanted = F.array(*[F.struct(F.lit(pos).alias("pos"), F.lit(rank).cast("long").alias("rank"))
                        for pos, rank in enumerate(ranks(n))])
     counted = values.withColumn("bucket", bucket_of(F.col("value"), bounds))

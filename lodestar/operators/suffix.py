@@ -11,12 +11,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .ordering import BUCKETS, bucket_of, quantile_bounds
+from .ordering import bucket_of, buckets_for, quantile_bounds
 from .skew import salted_join
 
 
 def suffix_table(left: DataFrame, lkey: str, right: DataFrame, rkey: str, value: str,
-                 buckets: int = BUCKETS) -> DataFrame:
+                 buckets: int | None = None) -> DataFrame:
     """For each distinct ``lkey``: max, sum and count of ``value`` where ``rkey > lkey``.
 
     Returns ``key, suffix_max, suffix_sum, suffix_count``. Keys must be numeric. Equal
@@ -33,7 +33,8 @@ def suffix_table(left: DataFrame, lkey: str, right: DataFrame, rkey: str, value:
     per_key = materialise(entries.groupBy("key").agg(
         F.max("v").alias("mx"), F.sum("v").alias("sm"), F.count("v").alias("ct"),
         F.bool_or("asked").alias("asked")), "suffix-keys")
-    keyed = per_key.withColumn("bucket", bucket_of(F.col("key"), quantile_bounds(per_key, "key", buckets)))
+    bounds = quantile_bounds(per_key, "key", buckets or buckets_for(per_key.count()))
+    keyed = per_key.withColumn("bucket", bucket_of(F.col("key"), bounds))
     later = W.partitionBy("bucket").orderBy(F.desc("key")).rowsBetween(W.unboundedPreceding, -1)
     inside = keyed.select("key", "bucket", "asked",
                           F.max("mx").over(later).alias("in_max"),
@@ -56,7 +57,7 @@ def suffix_table(left: DataFrame, lkey: str, right: DataFrame, rkey: str, value:
 
 
 def suffix_agg(left: DataFrame, lkey: str, right: DataFrame, rkey: str, value: str,
-               buckets: int = BUCKETS, **skew) -> DataFrame:
+               buckets: int | None = None, **skew) -> DataFrame:
     """``left`` with suffix_max, suffix_sum, suffix_count and suffix_avg.
 
     Left rows with no later right row get nulls and a count of 0.

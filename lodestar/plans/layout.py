@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import skew
-from ..session import scratch_path
+from ..session import scratch_path, shuffle_width
 from ..sources import generators, layout, readers
 from .registry import query
 
@@ -80,7 +80,7 @@ def partition_marker(t):
     path = scratch_path(t.spark, "users-by-marker")
     marked = layout.partition_marker(t.users.select("id", "reputation"),
                                      F.col("reputation") > 100, "rep", 101, 100)
-    layout.write_partitioned(marked, path, ["rep"], files_per_value=8)
+    layout.write_partitioned(marked, path, ["rep"])
     schema = T.StructType.fromDDL("id long, reputation long, rep int")
     return t.spark.read.schema(schema).parquet(path).where("rep > 100")
 
@@ -101,7 +101,7 @@ def dynamic_partition_insert(t):
     layout.create_partitioned_table(t.spark, table, "id bigint, owneruserid bigint, posttypeid int",
                                     "posttypeid")
     layout.insert_dynamic_partitions(t.posts.select("posttypeid", "id", "owneruserid"), table,
-                                     ["posttypeid"], files_per_value=8)
+                                     ["posttypeid"])
     return t.spark.table(table).where("posttypeid > 2")
 
 
@@ -119,8 +119,9 @@ def bucketed_join(t):
     if hot:
         joined = skew.salted_join(posts, users, ["userid"], hot=hot, spread_by=["id"])
     else:
-        left = layout.write_bucketed(posts, _table_name("posts_bucketed"), "userid", 16)
-        right = layout.write_bucketed(users, _table_name("users_bucketed"), "userid", 16)
+        buckets = shuffle_width(t.spark)
+        left = layout.write_bucketed(posts, _table_name("posts_bucketed"), "userid", buckets)
+        right = layout.write_bucketed(users, _table_name("users_bucketed"), "userid", buckets)
         joined = left.join(right.hint("merge"), "userid")
     return joined.groupBy("posttypeid").agg(F.count("*").alias("n"),
                                             F.sum("reputation").alias("reputation"))

@@ -45,6 +45,12 @@ def size_shuffles(spark: SparkSession, path: str, partition_bytes: int = 512 <<
     return wanted
 
 
+def shuffle_width(spark: SparkSession) -> int:
+    """Number of partitions that a shuffle starts with."""
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    return int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", own))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach: the one named by ``spark.checkpoint.dir``.
 

@@ -13,14 +13,13 @@ def partition_marker(df: DataFrame, predicate: Column, name: str, hi: int, lo: i
     return df.withColumn(name, F.when(predicate, F.lit(hi)).otherwise(F.lit(lo)))
 
 
-def write_partitioned(df: DataFrame, path: str, cols: list[str], files_per_value: int = 1) -> None:
+def write_partitioned(df: DataFrame, path: str, cols: list[str]) -> None:
     """Parquet, one folder per value.
 
-    Rows of one value are spread over ``files_per_value`` tasks, so a value that holds a
-    large share of the rows is not written by a single one.
+    Rows are rebalanced by value: adaptive execution splits a value that holds a large
+    share of the rows over several tasks and puts small values together in one.
     """
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_value))
-    df.repartition(*[F.col(c) for c in cols], spread).write.partitionBy(*cols).parquet(path)
+    df.hint("rebalance", *cols).write.partitionBy(*cols).parquet(path)
 
 
 def insert_static_partition(df: DataFrame, table: str, partition: dict[str, int]) -> None:
@@ -29,13 +28,13 @@ def insert_static_partition(df: DataFrame, table: str, partition: dict[str, int]
     df.sparkSession.sql(f"INSERT INTO {table} PARTITION ({clause}) SELECT * FROM {{rows}}", rows=df)
 
 
-def insert_dynamic_partitions(df: DataFrame, table: str, cols: list[str],
-                              files_per_value: int = 1) -> None:
-    """Insert into a partitioned table; each row's values say which partition it goes to."""
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(files_per_value))
+def insert_dynamic_partitions(df: DataFrame, table: str, cols: list[str]) -> None:
+    """Insert into a partitioned table; each row's values say which partition it goes to.
+
+    Balanced as in ``write_partitioned``. The table has its partition columns last.
+    """
     first = [c for c in df.columns if c not in cols]
-    (df.select(*first, *cols).repartition(*[F.col(c) for c in cols], spread)
-     .write.insertInto(table))
+    df.select(*first, *cols).hint("rebalance", *cols).write.insertInto(table)
 
 
 def collect_statistics(spark: SparkSession, table: str, cols: list[str] | None = None) -> None:

@@ -68,12 +68,12 @@ def test_uniform_ints(spark):
 def test_marker_partition_is_pruned(spark):
     path = session.scratch_path(spark, "marker")
     df = layout.partition_marker(spark.range(300), F.col("id") > 100, "rep", 101, 100)
-    # small partitions would be put together again
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    # what counts as large is lowered to this test's size
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500")
     try:
-        layout.write_partitioned(df, path, ["rep"], files_per_value=16)
+        layout.write_partitioned(df.repartition(8), path, ["rep"])
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     read = spark.read.parquet(path).where("rep > 100")
     assert read.count() == 199
     assert "PartitionFilters: [isnotnull(rep" in read._jdf.queryExecution().executedPlan().toString()
