@@ -10,8 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scores import inverse_doc_freq
-from ..session import materialise
-from .skew import MIN_ROWS, SALTS, SHARE, salted_join
+from ..session import materialise, shuffle_width
+from .skew import MIN_ROWS, hot_share, salted_join, salts_for
 
 
 def hash_split(df: DataFrame, id_col: str, train_percent: int = 80, seed: int = 42) -> DataFrame:
@@ -28,7 +28,7 @@ def vocabulary_topk(counts: DataFrame, k: int) -> DataFrame:
             .orderBy(F.desc("n_occurrences"), F.asc("term")).limit(k))
 
 
-def tfidf_weights(counts: DataFrame, docs: DataFrame, share: float = SHARE,
+def tfidf_weights(counts: DataFrame, docs: DataFrame, share: float | None = None,
                   min_rows: int = MIN_ROWS) -> DataFrame:
     """``tf · ln((N + 1) / (df + 1))`` per document and term.
 
@@ -38,10 +38,13 @@ def tfidf_weights(counts: DataFrame, docs: DataFrame, share: float = SHARE,
     n = docs.agg(F.count("*")).scalar()
     freq = materialise(counts.groupBy("term").agg(F.count("*").alias("n_docs")), "doc-freq")
     rows = freq.agg(F.sum("n_docs")).first()[0] or 0
+    width = shuffle_width(docs.sparkSession)
+    floor = max(rows * (share or hot_share(width)), min_rows)
     # fewer than 1 / share terms can pass this filter
-    hot = [r[0] for r in freq.where(F.col("n_docs") > max(rows * share, min_rows))
-           .select(F.xxhash64("term")).collect()]
-    weighted = salted_join(counts, freq, ["term"], "inner", SALTS, hot=hot)
+    hot = {r["h"]: salts_for(r["n_docs"], rows, width) for r in
+           freq.where(F.col("n_docs") > floor).orderBy(F.desc("n_docs"))
+           .select(F.xxhash64("term").alias("h"), "n_docs").collect()}
+    weighted = salted_join(counts, freq, ["term"], hot=hot)
     return weighted.withColumn("weight", F.col("tf") * inverse_doc_freq(n, F.col("n_docs")))
 
 

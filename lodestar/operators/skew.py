@@ -10,39 +10,57 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SHARE = 1 / 64
+from ..session import shuffle_width
+
 MIN_ROWS = 1_000_000
-SALTS = 64
-TRACKED = 10_000
+TRACKED_PER_KEY = 16
+
+
+def hot_share(width: int) -> float:
+    """Share of the rows from which on a key is hot: four average partitions' worth.
+
+    Kept between 1/2048 and 1/64, so at most 2048 keys can be hot.
+    """
+    return max(1 / 2048, min(1 / 64, 4 / width))
+
+
+def salts_for(count: int, rows: int, width: int) -> int:
+    """Tasks that a key's rows are spread over: as many average partitions as they fill."""
+    return max(2, -(-count * width // rows))
 
 
-def heavy_key_hashes(df: DataFrame, keys: list[str], share: float = SHARE,
-                     min_rows: int = MIN_ROWS) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows.
+def heavy_keys(df: DataFrame, keys: list[str], share: float | None = None,
+               min_rows: int = MIN_ROWS, width: int | None = None) -> dict[int, int]:
+    """Hashes of the hot keys, each with its number of salts, the hottest first.
 
-    One pass over the key columns with a top-k sketch; at most ``1 / share`` keys can
-    qualify, so the answer is bounded whatever the data. A sketch error changes only
-    which keys get salted, never a result.
+    One pass over the key columns with a top-k sketch. At most ``1 / share`` keys can
+    hold that share of the rows, so the answer is bounded whatever the data. A sketch
+    error changes only how keys are salted, never a result.
     """
+    width = width or shuffle_width(df.sparkSession)
+    share = share or hot_share(width)
+    most = int(2 / share)
     found = df.agg(
         F.count("*").alias("n"),
-        F.call_function("approx_top_k", F.xxhash64(*keys),
-                        F.lit(int(2 / share)), F.lit(TRACKED)).alias("top"),
+        F.call_function("approx_top_k", F.xxhash64(*keys), F.lit(most),
+                        F.lit(most * TRACKED_PER_KEY)).alias("top"),
     ).first()
     floor = max(found["n"] * share, min_rows)
-    return [entry["item"] for entry in found["top"] or [] if entry["count"] > floor]
+    return {entry["item"]: salts_for(entry["count"], found["n"], width)
+            for entry in found["top"] or [] if entry["count"] > floor}
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-                salts: int = SALTS, share: float = SHARE, min_rows: int = MIN_ROWS,
-                hot: list[int] | None = None,
+                share: float | None = None, min_rows: int = MIN_ROWS,
+                width: int | None = None, hot: dict[int, int] | None = None,
                 spread_by: list[str] | None = None) -> DataFrame:
     """Join of a large ``left`` with a ``right`` that has one row per key.
 
-    Rows of hot left keys are spread over ``salts`` tasks and only the matching right
-    rows (at most ``1 / share`` of them) are repeated. Without hot keys this is the
-    plain join. ``how``: inner, left, left_semi or left_anti. ``hot`` gives the key hashes
-    when they are already known and saves the pass that looks for them.
+    Rows of a hot left key are spread over as many tasks as they would fill, and only
+    its right row is repeated, once per task: altogether about as many extra rows as
+    there are shuffle partitions. Without hot keys this is the plain join. ``how``:
+    inner, left, left_semi or left_anti. ``hot`` gives the hot keys when they are already
+    known and saves the pass that looks for them.
 
     Hot rows are spread by a hash of ``spread_by``, for example the row id. Without it
     the row position is used, which a retried task repeats only where ``left`` is a scan.
@@ -51,16 +69,17 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
         if left.schema[key].dataType != right.schema[key].dataType:
             raise TypeError(f"join key {key} differs in type")
     if hot is None:
-        hot = heavy_key_hashes(left, on, share, min_rows)
+        hot = heavy_keys(left, on, share, min_rows, width)
     if not hot:
         return left.join(right, on, how)
-    is_hot = F.xxhash64(*on).isin(hot)
+    key_hash = F.xxhash64(*on)
+    table = F.create_map(*[F.lit(x).cast(kind) for pair in hot.items()
+                           for x, kind in zip(pair, ("long", "int"))])
+    # cold rows skip the lookup
+    salts = F.when(key_hash.isin(list(hot)), F.element_at(table, key_hash)).otherwise(F.lit(1))
     place = F.xxhash64(*spread_by) if spread_by else F.monotonically_increasing_id()
-    spread = F.pmod(place, F.lit(salts)).cast("int")
-    salted_left = left.withColumn("_salt", F.when(is_hot, spread).otherwise(F.lit(0)))
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = right.withColumn(
-        "_salt", F.explode(F.when(is_hot, every_salt).otherwise(F.array(F.lit(0)))))
+    salted_left = left.withColumn("_salt", F.pmod(place, salts).cast("int"))
+    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 

@@ -115,7 +115,7 @@ def bucketed_join(t):
     """
     posts = t.posts.select("id", F.col("owneruserid").alias("userid"), "posttypeid")
     users = t.users.select(F.col("id").alias("userid"), "reputation")
-    hot = skew.heavy_key_hashes(posts, ["userid"])
+    hot = skew.heavy_keys(posts, ["userid"])
     if hot:
         joined = skew.salted_join(posts, users, ["userid"], hot=hot, spread_by=["id"])
     else:

@@ -24,15 +24,22 @@ def lookup(spark):
 
 
 def test_heavy_keys_are_found(spark, skewed):
-    want = [r[0] for r in spark.sql("select xxhash64(7L)").collect()]
-    assert skew.heavy_key_hashes(skewed.dropna(), ["k"], **HOT) == want
-    assert skew.heavy_key_hashes(skewed.limit(0), ["k"], **HOT) == []
+    want = spark.sql("select xxhash64(7L)").first()[0]
+    # a bit more than a third of the rows, so four of ten tasks
+    assert skew.heavy_keys(skewed.dropna(), ["k"], width=10, **HOT) == {want: 4}
+    assert skew.heavy_keys(skewed.limit(0), ["k"], **HOT) == {}
+
+
+def test_number_of_hot_keys_is_bounded():
+    assert skew.hot_share(8) == 1 / 64 and skew.hot_share(1024) == 4 / 1024
+    assert skew.hot_share(20_000) == 1 / 2048
+    assert skew.salts_for(333, 1000, 900) == 300 and skew.salts_for(1, 1000, 9) == 2
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 @pytest.mark.parametrize("spread_by", [None, ["id"]])
 def test_salted_join_equals_plain_join(skewed, lookup, rows, how, spread_by):
-    salted = skew.salted_join(skewed, lookup, ["k"], how, salts=8, spread_by=spread_by, **HOT)
+    salted = skew.salted_join(skewed, lookup, ["k"], how, width=24, spread_by=spread_by, **HOT)
     assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
     assert rows(salted) == rows(skewed.join(lookup, "k", how))
 
@@ -41,7 +48,7 @@ def test_hot_key_reaches_several_partitions(spark, skewed, lookup):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = skew.salted_join(skewed, lookup, ["k"], "left", salts=8, spread_by=["id"], **HOT)
+        joined = skew.salted_join(skewed, lookup, ["k"], "left", width=24, spread_by=["id"], **HOT)
         parts = joined.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
