@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced_simhash
+from . import bitsliced_simhash, positional_index, quality_rules
 
 QUERIES, ORACLE = {}, {}
 
@@ -28,3 +28,102 @@ def query(sql: str | None = None):
 def op8_simhash_components(spark, sf_dir):
     found = bitsliced_simhash.fingerprint_components(_table(spark, sf_dir, "documents"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+_RULE_SQL = " union all ".join(
+    f"select doc_id, stratum, good, '{r}' as rule, 1000 * {a} // greatest({b}, 1) as score from labelled"
+    for r, (a, b) in quality_rules.RULES.items())
+_RATE = quality_rules.ALPHA / len(quality_rules.RULES)
+_LEVEL = quality_rules.DELTA / (len(quality_rules.RULES) * (len(quality_rules.STRATA) + 1))
+_FIRST_RULE = "case " + " ".join(
+    f"when bool_or(rule = '{r}') then '{r}'" for r in quality_rules.RULES) + " end"
+
+
+@query(f"""
+with base as (
+    select doc_id, coalesce(text, '') as text,
+        case when lang in {quality_rules.STRATA} then lang else 'other' end as stratum,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+        [x for x in string_split(coalesce(text, ''), chr(10))
+         if regexp_matches(x, '[^\x20\x09-\x0D]')] as l
+    from documents),
+runs as (
+    select doc_id, unnest(range(1, len(w) - 1)) as i, unnest([w[j] || ' ' || w[j + 1] || ' ' || w[j + 2]
+        for j in range(1, len(w) - 1)]) as run from base where len(w) >= 3),
+twice as (select doc_id, i, count(*) over (partition by doc_id, run) as c from runs),
+covered as (
+    select doc_id, count(distinct p) as n_repeat_words
+    from (select doc_id, unnest([i, i + 1, i + 2]) as p from twice where c > 1) group by doc_id),
+counts as (
+    select b.doc_id, stratum, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+        length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) as n_symbols,
+        len(l) - len(list_distinct(l)) as n_dup_lines, len(l) as n_lines,
+        coalesce(n_repeat_words, 0) as n_repeat_words,
+        length(regexp_replace(text, '[^!?]+', '', 'g')) as n_marks,
+        length(regexp_replace(text, '[^\\p{{Lu}}]+', '', 'g')) as n_upper
+    from base b left join covered c on b.doc_id = c.doc_id),
+judged as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from counts),
+labelled as (
+    select j.*, g.good from judged j
+    join (select doc_id, min(quality) as good from labels where quality is not null group by doc_id) g
+        on j.doc_id = g.doc_id where not base_failed),
+scores as ({_RULE_SQL}),
+sizes as (select stratum, rule, count(*) filter (good = 1) as n from scores group by all),
+cuts as (select unnest({list(quality_rules.CUTOFFS)}) as cut),
+tests as (
+    select stratum, rule, cut, count(*) filter (good = 1) as k, count(*) filter (good <> 1) as bad
+    from scores, cuts where score > cut group by all),
+tails as (
+    select t.*, list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_RATE})
+        + (n - i) * ln(1 - {_RATE})) for i in range(0, k + 1)]) as p
+    from tests t join sizes s on t.stratum = s.stratum and t.rule = s.rule where k < n * {_RATE}),
+chosen as (
+    select stratum, rule, arg_max(cut, (bad - {quality_rules.WORTH} * k) * 10000 + cut) as cutoff
+    from tails where p <= {_LEVEL} and bad > {quality_rules.WORTH} * k group by stratum, rule),
+over as (
+    select doc_id, {_FIRST_RULE} as rejected_by from (
+        select s.doc_id, s.rule from ({_RULE_SQL.replace("good, ", "").replace("from labelled", "from judged")}) s
+        join chosen c on s.stratum = c.stratum and s.rule = c.rule and s.score > c.cutoff)
+    group by doc_id)
+select j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, stratum,
+    rejected_by, not base_failed and rejected_by is null as kept
+from judged j left join over o on j.doc_id = o.doc_id
+""")
+def op1_risk_controlled_rules(spark, sf_dir):
+    judged = quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                         "n_repeat_words", "base_failed", "stratum", "rejected_by", "kept")
+
+
+@query("""
+with words as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+items as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+windows as (
+    select distinct item_id, least(len(w), 10) as n,
+        unnest([array_to_string(w[i : i + 9], ' ') for i in range(1, greatest(len(w) - 9, 1) + 1)]) as phrase
+    from items where len(w) > 0),
+sizes as (select distinct n from windows),
+runs as (
+    select doc_id, n, unnest(range(1, len(w) - n + 2)) as i,
+        unnest([array_to_string(w[j : j + n - 1], ' ') for j in range(1, len(w) - n + 2)]) as phrase
+    from words, sizes where len(w) >= n),
+hits as (select r.doc_id, r.n, r.i, v.item_id from runs r join windows v on r.phrase = v.phrase and r.n = v.n),
+covered as (
+    select doc_id, count(distinct p) as n_hit
+    from (select doc_id, unnest(range(i, i + n)) as p from (select distinct doc_id, i, n from hits))
+    group by doc_id),
+named as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as ids
+    from (select distinct doc_id, item_id::varchar as item from hits) group by doc_id)
+select w.doc_id, len(w.w) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words w left join covered c on w.doc_id = c.doc_id left join named m on w.doc_id = m.doc_id
+""")
+def op9_positional_index(spark, sf_dir):
+    found = positional_index.contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("n_near")
