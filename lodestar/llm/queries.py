@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bitsliced_simhash, positional_index, quality_rules
+from . import (
+    bitsliced_simhash, byte_cnn, external_shuffle, pii_boosting, positional_index, quality_rules,
+    residual_packing, url_automaton, warc_writer,
+)
 
 QUERIES, ORACLE = {}, {}
 
 
+def byte_bpe() -> str:
+    """Where the public byte-level vocabulary lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -127,3 +137,85 @@ def op9_positional_index(spark, sf_dir):
     found = positional_index.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.drop("n_near")
+
+
+@query()
+def op4_boosted_pii(spark, sf_dir):
+    return pii_boosting.spans_by_document(_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_residual_packing(spark, sf_dir):
+    return residual_packing.packed_sequences(_table(spark, sf_dir, "documents"), byte_bpe())
+
+
+@query()
+def op2_byte_cnn(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    scored = byte_cnn.scored(docs, byte_cnn.learn(docs, _table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+@query("""
+with sized as (
+    select page_id, coalesce(html, '') as html, sha256(coalesce(html, '')) as payload_digest,
+        strlen(coalesce(html, '')) as payload_bytes from pages),
+firsts as (
+    select payload_digest, min(page_id) as first from sized where payload_bytes >= 100 group by payload_digest)
+select page_id, payload_bytes, s.payload_digest,
+    case when first <> page_id then 'revisit' else 'response' end as record_type,
+    case when first <> page_id then first end as refers_to
+from sized s left join firsts f on s.payload_digest = f.payload_digest and payload_bytes >= 100
+""")
+def op3_warc_writer(spark, sf_dir):
+    folder, manifest = warc_writer.write_warc(_table(spark, sf_dir, "pages"))
+    return warc_writer.read_warc(folder, manifest).drop("url")
+
+
+@query()
+def op5_external_shuffle(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return external_shuffle.write_shuffled(docs, 24).select(
+        "doc_id", external_shuffle.row_size("text").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+URL_RULES = [
+    url_automaton.host_rule("com", "/", False),
+    url_automaton.host_rule("example.com", "/en/", True),
+    url_automaton.host_rule("www.example.com", "/en/", False),
+    url_automaton.host_rule("net", "/es/", True),
+    url_automaton.host_rule("net", "/fr/", True),
+    # what no host rule decides: advertising hosts, log-in pages and program files go
+    url_automaton.Rule("*.ads-*", True),
+    url_automaton.Rule("*.ads-*/**", True),
+    url_automaton.Rule("**/wp-login.php", True),
+    url_automaton.Rule("**/*.exe", True),
+]
+
+
+@query("""
+with rests as (
+    select page_id, case when contains(coalesce(url, ''), '://') then substr(url, strpos(url, '://') + 3)
+        else '' end as rest from pages),
+parts as (
+    select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz') as host,
+        regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') as path
+    from rests),
+rules(h, p, verdict) as (values ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+    ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fits as (
+    select page_id, arg_max(h || p, length(h || p)) as rule, arg_max(verdict, length(h || p)) as verdict
+    from parts join rules on (host = h or ends_with(host, '.' || h)) and starts_with(path, p) group by page_id)
+select s.page_id, host, path, rule, coalesce(verdict, case when
+    regexp_full_match('.' || host || path, '[^/]*\\.ads-[^/]*') or
+    regexp_full_match('.' || host || path, '(?s)[^/]*\\.ads-[^/]*/.*') or
+    regexp_full_match('.' || host || path, '(?s).*/wp-login\\.php') or
+    regexp_full_match('.' || host || path, '(?s).*/[^/]*\\.exe') then 'block' else 'allow' end) as verdict
+from parts s left join fits f on s.page_id = f.page_id
+""")
+def op6_url_automaton(spark, sf_dir):
+    judged = url_automaton.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.withColumnRenamed("id", "page_id")
