@@ -175,4 +175,7 @@ def kept(docs: DataFrame, labels: DataFrame, **risk: float) -> DataFrame:
     counts = stored(measured(slim).drop("text"), "rule-counts")
     by = verdict(certified_cutoffs(counts, labels.select("doc_id", "quality"), **risk))
     rows = measured(packed(docs, stratum=stratum("lang"), text=F.col("text")))
-    return rows.where(~F.col("base_failed") & by.isNull()).select("_row.*")
+    # a filter on counts alone would be pushed below them and form every one of them anew
+    judged = rows.select("_row", (~F.col("base_failed") & by.isNull()).alias("_kept"),
+                         F.monotonically_increasing_id().alias("_order"))
+    return judged.where("_kept and _order >= 0").select("_row.*")
