@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bitsliced_simhash, byte_cnn, external_shuffle, pii_boosting, positional_index, quality_rules,
+    bitsliced_simhash, byte_cnn, external_shuffle, kneser_ney, pii_boosting, positional_index, quality_rules,
     residual_packing, url_automaton, warc_writer,
 )
 
@@ -219,3 +219,9 @@ from parts s left join fits f on s.page_id = f.page_id
 def op6_url_automaton(spark, sf_dir):
     judged = url_automaton.judge(_table(spark, sf_dir, "pages"), URL_RULES)
     return judged.withColumnRenamed("id", "page_id")
+
+
+@query()
+def op10_kneser_ney(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return kneser_ney.scored(docs, kneser_ney.learn(docs.where(kneser_ney.in_training())))
