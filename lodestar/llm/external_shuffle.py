@@ -31,7 +31,7 @@ def _digest(docs: DataFrame) -> Column:
 
 
 def _bucket(digest: Column, copy: Column, buckets: int, seed: int) -> Column:
-    return F.pmod(F.xxhash64(digest, copy, F.lit(seed)), F.lit(buckets))
+    return F.pmod(F.xxhash64(digest, copy.cast("long"), F.lit(seed)), F.lit(buckets))
 
 
 def _scatter(docs: DataFrame, digests: DataFrame, buckets: int, seed: int) -> DataFrame:
