@@ -2,12 +2,11 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from lodestar.plans import ORACLE, QUERIES
 from tools.compare import canonical, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = queries()
-ORACLE = oracle_sql()
 ROWS_ONLY = {"classify_decision_tree", "classify_linear_svm"}
 
 
