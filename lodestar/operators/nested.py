@@ -23,8 +23,8 @@ def embed_children(parent: DataFrame, child: DataFrame, key: str, child_key: str
     sizes = child.groupBy(child_key).agg(
         F.ceil(F.count("*") / F.lit(chunk_rows)).cast("int").alias("_chunks"))
     large = sizes.where(F.col("_chunks") > 1)
-    # the position in the scan decides the chunk, so equal children spread as well
-    numbered = child.withColumn("_row", F.monotonically_increasing_id())
+    # a hash of the place in the scan decides the chunk: equal children spread, and periodic ones too
+    numbered = child.withColumn("_row", F.xxhash64(F.monotonically_increasing_id()))
     placed = (salted_join(numbered, large, [child_key], "left", spread_by=["_row"])
               .withColumn("chunk", F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
                   F.pmod(F.col("_row"), F.col("_chunks")).cast("int"))))
@@ -57,10 +57,15 @@ def embed_parent(child: DataFrame, parent: DataFrame, child_key: str, parent_key
     return salted_join(child, side, [child_key], "left", **skew)
 
 
-def copies_available(documents: DataFrame, borrowed: DataFrame, key: str, list_col: str,
-                     field: str, borrowed_key: str) -> DataFrame:
-    """Owned copies (over the embedded list) minus borrowed ones, per document key."""
-    owned = sum_nested(documents, key, list_col, field, "owned")
+def copies_available(parent: DataFrame, child: DataFrame, borrowed: DataFrame, key: str,
+                     child_key: str, field: str, borrowed_key: str) -> DataFrame:
+    """Owned copies (summed over the children) minus borrowed ones, per parent key.
+
+    The children are summed before they meet their parent; no list is built.
+    """
+    per_key = child.groupBy(F.col(child_key).alias(key)).agg(F.sum(field).alias("owned"))
+    owned = parent.select(key).join(per_key, key, "left").select(
+        key, F.coalesce("owned", F.lit(0)).cast("long").alias("owned"))
     out = borrowed.groupBy(F.col(borrowed_key).alias(key)).agg(F.count("*").alias("borrowed"))
     lent: Column = F.coalesce("borrowed", F.lit(0))
     return owned.join(out, key, "left").select(key, "owned", lent.alias("borrowed"),

@@ -7,7 +7,7 @@ the left lands in one task. ``salted_join`` covers that case.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shuffle_width
@@ -62,8 +62,8 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
     inner, left, left_semi or left_anti. ``hot`` gives the hot keys when they are already
     known and saves the pass that looks for them.
 
-    Hot rows are spread by a hash of ``spread_by``, for example the row id. Without it
-    the row position is used, which a retried task repeats only where ``left`` is a scan.
+    Hot rows are spread by a hash of ``spread_by``, for example the row id, or of all columns of
+    ``left``: a task that runs again deals its rows the same way, in whatever order they arrive.
     """
     for key in on:
         if left.schema[key].dataType != right.schema[key].dataType:
@@ -77,7 +77,7 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
                            for x, kind in zip(pair, ("long", "int"))])
     # cold rows skip the lookup
     salts = F.when(key_hash.isin(list(hot)), F.element_at(table, key_hash)).otherwise(F.lit(1))
-    place = F.xxhash64(*spread_by) if spread_by else F.monotonically_increasing_id()
+    place = F.xxhash64(*[F.col(c) for c in spread_by or left.columns])
     salted_left = left.withColumn("_salt", F.pmod(place, salts).cast("int"))
     salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
@@ -100,7 +100,7 @@ def anti_join(left: DataFrame, right: DataFrame, on: list[str], **skew) -> DataF
 
 def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> tuple[DataFrame, bool]:
     """``df`` marked for broadcast when it has at most ``max_rows`` rows, else as it is."""
-    small = df.limit(max_rows + 1).count() <= max_rows
+    small = df.count() <= max_rows
     return (F.broadcast(df) if small else df), small
 
 
@@ -110,7 +110,3 @@ def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
     side, small = checked_broadcast(right, max_rows)
     return left.join(side, on, how) if small else salted_join(left, side, on, how, **skew)
 
-
-def one_value(df: DataFrame) -> Column:
-    """The single cell of a one-row aggregate, as a scalar subquery."""
-    return df.scalar()

@@ -94,12 +94,15 @@ def chi2_contingency(terms: DataFrame, docs: DataFrame,
 
 
 def chi2_scores(terms: DataFrame, docs: DataFrame, category_col: str = "category",
-                scaled: bool = False) -> DataFrame:
-    """χ² per (category, term); ``scaled`` multiplies by the number of documents."""
+                scaled: bool = False, with_cells: bool = False) -> DataFrame:
+    """χ² per (category, term); ``scaled`` multiplies by the number of documents.
+
+    ``with_cells`` keeps the 2×2 table beside the score.
+    """
     table = chi2_contingency(terms, docs, category_col)
     cells = [F.col(x) for x in "abcd"]
     total = sum(cells[1:], cells[0])
-    return table.select(category_col, "term",
+    return table.select(category_col, "term", *(cells if with_cells else []),
                         chi2_score(*cells, n=total if scaled else None).alias("chi2"))
 
 

@@ -41,7 +41,7 @@ def typed_csv_load(t):
     layout.write_csv(t.documents.select("doc_id", "lang", cell.alias("n_chars"), "text"), path,
                      escape='"', **_KEEP_SPACE)
     schema = T.StructType.fromDDL("doc_id long, lang string, n_chars long, text string")
-    return readers.read_csv_typed(t.spark, path, schema).withColumn(
+    return readers.read_csv_typed(t.spark, path, schema, multi_line=True).withColumn(
         "n_chars", F.coalesce("n_chars", F.lit(-1)))
 
 

@@ -46,4 +46,4 @@ def embed_parent(t):
         (coalesce(owned, 0) - coalesce(lent, 0))::bigint as available
     from book left join o on o.book = id left join l on l.book = id""")
 def copies_available(t):
-    return nested.copies_available(_documents(t), t.borrowed, "id", "editions", "owned", "book")
+    return nested.copies_available(t.book, t.edition, t.borrowed, "id", "book", "owned", "book")

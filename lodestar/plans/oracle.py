@@ -56,20 +56,19 @@ SQL_VIEWS = {
         lineitem
     """,
     "s": """
-        select l_suppkey % 21 as d, l_partkey % 51 as b, cast(l_quantity as bigint) as c from
-        lineitem where l_linenumber <= 3
+        select l_suppkey % 21 as d, l_partkey % 51 as b, 
+        cast(l_quantity as bigint) - cast(l_quantity as bigint) % 2 as c from lineitem
     """,
     "t": """
         select o_custkey % 51 as a, o_orderkey % 21 as d, (o_custkey + o_orderkey) % 51 as c
-        from orders where o_orderkey % 10 = 0
+        from orders
     """,
     "u": """
         select c_custkey % 21 as a, c_custkey % 17 as b, cast(c_nationkey % 21 as bigint) as d
         from customer
     """,
     "libraries": """
-        select s_suppkey as libid, s_name as info, s_nationkey as city from supplier where
-        s_suppkey % 4 <> 0
+        select s_suppkey as libid, s_name as info, s_nationkey as city from supplier
     """,
     "books": """
         select distinct l_partkey as bid, l_suppkey as home, l_partkey % 2 as available from

@@ -89,6 +89,10 @@ def suffix_avg_join(t):
     and b.name like 'signup'""")
 def top_upvoter_posts(t):
     """Distinct posts whose owner has the most upvotes of all users created later."""
+    return _top_upvoter_posts(t).select("id")
+
+
+def _top_upvoter_posts(t):
     holders = t.badges.where(F.col("name").like("signup")).select(F.col("userid").alias("owneruserid"))
     owners = t.users.select(F.col("id").alias("owneruserid"), "upvotes")
     posts = relational.exists_greater(t.posts.select("id", "owneruserid", "creationdate"), "id",
@@ -97,7 +101,7 @@ def top_upvoter_posts(t):
                              ["owneruserid"], spread_by=["id"])
     best = _with_later_users(t, posts).where("upvotes = suffix_max")
     commented = skew.keys_of(t.comments.select(F.col("postid").alias("id")), ["id"])
-    return best.join(commented, "id", "left_semi").select("id")
+    return best.join(commented, "id", "left_semi").select("id", "owneruserid")
 
 
 @query("""select p.id, count(*) as n from posts p, comments c, users u, badges b
@@ -113,8 +117,8 @@ def top_upvoter_post_rows(t):
     badges = (t.badges.where(F.col("name").like("signup"))
               .groupBy(F.col("userid").alias("owneruserid")).agg(F.count("*").alias("n_badges")))
     comments = t.comments.groupBy(F.col("postid").alias("id")).agg(F.count("*").alias("n_comments"))
-    best = top_upvoter_posts(t).join(t.posts.select("id", "owneruserid"), "id")
-    return best.join(badges, "owneruserid").join(comments, "id").select(
+    held = skew.salted_join(_top_upvoter_posts(t), badges, ["owneruserid"], spread_by=["id"])
+    return held.join(comments, "id").select(
         "id", (F.col("n_badges") * F.col("n_comments")).alias("n"))
 
 

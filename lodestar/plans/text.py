@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import STOPWORDS
 from ..operators import classification, features, terms
-from ..session import scratch_path, spread
+from ..session import path_bytes, scratch_path, spread
 from ..sources.readers import TERM_SCHEMA, decode_terms, read_reviews
 from .registry import query
 
@@ -48,7 +48,7 @@ _TOP = f"""{_SCORES}, top as (
 
 
 def _texts(t):
-    return spread(t.reviews, "review_id")
+    return spread(t.reviews, "review_id", path_bytes(t.spark, f"{t.path}/documents.parquet"))
 
 
 def _terms(t):
@@ -143,19 +143,21 @@ def chi2_top_terms_overall(t):
     return terms.chi2_top_terms_overall(terms.chi2_overall(_counts(t), _docs(t)), 4000)
 
 
-@query(f"""with {_TOP}, totals as (select (select count(*) from reviews) as n)
-    select s.category, s.term as value, c.a as num_docs_in_category,
-           c.c as num_docs_in_category_without, c.a + c.b as num_docs, n - c.a - c.b as num_docs_without
-    from top s join cells c on c.category = s.category and c.term = s.term, totals""")
+@query(f"""with {_CELLS}, scores as materialized (
+        select *, (a::double * d - b::double * c) * (a::double * d - b::double * c)
+            / nullif((a + b)::double * (a + c) * (b + d) * (c + d), 0) as chi2 from cells)
+    select category, term as value, a as num_docs_in_category, c as num_docs_in_category_without,
+        a + b as num_docs, c + d as num_docs_without
+    from scores where chi2 is not null
+    qualify row_number() over (partition by category order by chi2 desc, term) <= {TOP_K}""")
 def term_records_json(t):
     """Term records stored as JSON text and decoded with their fixed schema."""
-    cells = terms.chi2_contingency(_terms(t), _docs(t))
+    top = terms.chi2_top_terms(terms.chi2_scores(_terms(t), _docs(t), with_cells=True), TOP_K)
     record = F.struct(F.col("term").alias("value"), F.col("a").alias("num_docs_in_category"),
                       F.col("c").alias("num_docs_in_category_without"),
                       (F.col("a") + F.col("b")).alias("num_docs"),
                       (F.col("c") + F.col("d")).alias("num_docs_without"))
-    stored = cells.join(_top(t).select("category", "term"), ["category", "term"], "left_semi") \
-        .select("category", F.to_json(record).alias("json"))
+    stored = top.select("category", F.to_json(record).alias("json"))
     return stored.select("category", decode_terms(F.col("json")).alias("r")).select(
         "category", *[F.col(f"r.{f.name}") for f in TERM_SCHEMA.fields])
 

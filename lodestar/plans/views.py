@@ -134,13 +134,14 @@ def r(t):
 
 
 def s(t):
-    return t.lineitem.where("l_linenumber <= 3").select(
+    quantity = F.col("l_quantity").cast("long")
+    return t.lineitem.select(
         (F.col("l_suppkey") % 21).alias("d"), (F.col("l_partkey") % 51).alias("b"),
-        F.col("l_quantity").cast("long").alias("c"))
+        (quantity - quantity % 2).alias("c"))
 
 
 def t_(t):
-    return t.orders.where("o_orderkey % 10 = 0").select(
+    return t.orders.select(
         (F.col("o_custkey") % 51).alias("a"), (F.col("o_orderkey") % 21).alias("d"),
         ((F.col("o_custkey") + F.col("o_orderkey")) % 51).alias("c"))
 
@@ -152,7 +153,7 @@ def u(t):
 
 
 def libraries(t):
-    return t.supplier.where("s_suppkey % 4 <> 0").select(
+    return t.supplier.select(
         F.col("s_suppkey").alias("libid"), F.col("s_name").alias("info"),
         F.col("s_nationkey").alias("city"))
 

@@ -28,6 +28,20 @@ def get_session(app: str = "lodestar", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files below a path, in whatever store it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(folder).getLength()
+
+
+def setting_bytes(text: str) -> int:
+    """Bytes of a size setting such as 134217728b, 16m or 1g."""
+    digits = text.rstrip("bkmgtBKMGT")
+    unit = text[len(digits):].lower().removesuffix("b")
+    return int(digits) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
 def size_shuffles(spark: SparkSession, path: str, partition_bytes: int = 512 << 20,
                   most: int = 20_000) -> int:
     """Initial number of shuffle partitions for jobs over the folder ``path``.
@@ -36,9 +50,7 @@ def size_shuffles(spark: SparkSession, path: str, partition_bytes: int = 512 <<
     never lowered below the session's own number; adaptive execution puts small
     partitions together again. ``most`` bounds the number of shuffle blocks.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    total = files.getContentSummary(folder).getLength()
+    total = path_bytes(spark, path)
     own = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = max(own, min(total // partition_bytes, most))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", wanted)
@@ -72,14 +84,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a scan with fewer files than cores, hashed to all cores.
+def spread(df: DataFrame, key: str, table_bytes: int) -> DataFrame:
+    """Rows of a scan of less than one split per core, hashed to all cores.
 
-    One row group is one task, so a single file would leave the other cores idle in
-    CPU-heavy work. A large table has more files and is returned as it is.
+    One row group is one task, so a small table would leave most cores idle in CPU-heavy
+    work. A table with a split for every core is returned as it is: its rows are not moved.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = setting_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return df.repartition(cores, key) if table_bytes < cores * split else df
 
 
 def write_scratch(df: DataFrame, name: str) -> str:

@@ -31,13 +31,13 @@ def read_reviews(spark: SparkSession, path: str | list[str],
 
 def read_csv_typed(spark: SparkSession, paths: str | list[str], schema: T.StructType,
                    timestamp_format: str | None = None, date_format: str | None = None,
-                   multi_line: bool = True, keep_corrupt: bool = False) -> DataFrame:
+                   multi_line: bool = False, keep_corrupt: bool = False) -> DataFrame:
     """CSV files with a header line, as one typed input.
 
     Quoted separators and line breaks stay inside their cell and a cell that does not
     fit its type is null. ``keep_corrupt`` adds the raw text of such rows in a column
-    that ``split_corrupt`` uses. ``multi_line`` reads a file in one task; turn it off
-    for large files whose cells hold no line breaks.
+    that ``split_corrupt`` uses. ``multi_line`` is needed where cells hold line breaks; it reads
+    a file in one task.
     """
     reader = (spark.read.option("header", True).option("mode", "PERMISSIVE")
               .option("multiLine", multi_line).option("escape", '"')

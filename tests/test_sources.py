@@ -22,7 +22,7 @@ def test_reviews_read_only_their_fields(spark, tmp_path):
 def test_csv_keeps_quotes_commas_and_breaks(spark, tmp_path, rows):
     path = write(tmp_path / "a.csv", 'id,name,n\n1,"a, ""b""\nc",5\n2,,oops\n3,d,\n')
     schema = T.StructType.fromDDL("id long, name string, n int")
-    assert rows(readers.read_csv_typed(spark, path, schema)) == [
+    assert rows(readers.read_csv_typed(spark, path, schema, multi_line=True)) == [
         (1, 'a, "b"\nc', 5), (2, None, None), (3, "d", None)]
 
 
