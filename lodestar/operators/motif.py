@@ -11,6 +11,7 @@ from .skew import salted_join
 
 PAIR_BUDGET = 10_000_000
 MAX_HUBS = 256
+FIRST_GROUP = 16
 
 
 def _light_cells(side1: DataFrame, side2: DataFrame, shared: DataFrame) -> DataFrame:
@@ -117,17 +118,30 @@ def shared_pair_motif(nodes: DataFrame, edges: DataFrame, type1: str, type2: str
     return _matches(*parts, pair_budget)
 
 
+def _first_pair(side1: DataFrame, side2: DataFrame, shared: DataFrame, pair_budget: int) -> DataFrame:
+    after, size = F.lit(True), FIRST_GROUP
+    while True:
+        group = materialise(side1.where(after).select("i").distinct().orderBy("i").limit(size), "firsts")
+        seen = group.agg(F.count("*").alias("n"), F.max("i").alias("last")).first()
+        some = side1.join(group, "i", "left_semi")
+        pair = materialise(_matches(some, side2, shared, pair_budget)
+                           .orderBy("i", "o").limit(1).select("i", "o"), "first-pair")
+        if seen["n"] < size or not pair.isEmpty():
+            return pair
+        after, size = F.col("i") > seen["last"], 4 * size
+
+
 def first_motif_match(nodes: DataFrame, edges: DataFrame, type1: str, type2: str,
                       label1: str, label2: str, shared_label: str,
                       pair_budget: int = PAIR_BUDGET) -> DataFrame:
     """The smallest match in the order i, o, e, e2: one row, or none.
 
-    Only the shared nodes of the first matching pair are looked at, and those are reduced
+    Nodes i are taken in id order, in groups that grow fourfold, until one has a match. Then only
+    the shared nodes of the first matching pair are looked at, and those are reduced
     by aggregates: a node has a partner if the other end of the country range differs.
     """
     side1, side2, shared = _parts(nodes, edges, type1, type2, label1, label2, shared_label)
-    pair = materialise(_matches(side1, side2, shared, pair_budget)
-                       .orderBy("i", "o").limit(1).select("i", "o"), "first-pair")
+    pair = _first_pair(side1, side2, shared, pair_budget)
     met = (side1.join(F.broadcast(pair), "i").join(side2, ["o", "e"]).join(shared, "e"))
     met = materialise(met.select("i", "o", "e", "c", "bad"), "first-pair-nodes")
     ends = met.agg(*[f(F.when(which, F.col("c"))).alias(name) for f, which, name in (

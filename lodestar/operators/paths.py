@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ..session import materialise, write_scratch
 
 
+FIRST_GROUP = 64
+
+
 def undirected(edges: DataFrame) -> DataFrame:
     """Distinct (node, next) pairs in both directions, without self loops."""
     there = edges.select(F.col("src").alias("node"), F.col("dst").alias("next"))
@@ -95,3 +98,26 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, max
     else:
         pairs = met.groupBy("source", "target").agg(F.min(length).alias("hops"))
     return pairs.where(F.col("hops").between(min_hops, max_hops))
+
+
+def first_path(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops: int = 30,
+               min_hops: int = 0, group: int = FIRST_GROUP) -> DataFrame:
+    """``(source, target, hops, path)`` of the first pair by id in that range, or no row.
+
+    Sources are taken in id order, in groups that grow fourfold, and the search stops at the
+    first group with a pair. The state is one row per node and source of a group.
+    """
+    after = F.lit(True)
+    while True:
+        some = materialise(sources.where(after).select("id").distinct().orderBy("id").limit(group),
+                           "first-sources")
+        seen = some.agg(F.count("*").alias("n"), F.max("id").alias("last")).first()
+        found = reach(edges, some, targets.where(F.lit(False)), max_hops, 0)
+        pairs = (found.where(F.col("hops").between(min_hops, max_hops))
+                 .join(targets.select(F.col("id").alias("node")).distinct(), "node"))
+        first = materialise(pairs.orderBy("origin", "node").limit(1), "first-pair")
+        if seen["n"] < group or not first.isEmpty():
+            break
+        after, group = F.col("id") > seen["last"], 4 * group
+    ends = [first.select(F.col(c).alias("id")) for c in ("origin", "node")]
+    return shortest_paths(edges, *ends, max_hops, min_hops, with_path=True)

@@ -47,6 +47,8 @@ def test_paths_equal_brute_force(spark, max_hops, min_hops):
     plain = {(r["source"], r["target"]): r["hops"] for r in paths.shortest_paths(
         frame, *ids, max_hops=max_hops, min_hops=min_hops).collect()}
     assert plain == {pair: hops for pair, (hops, _) in want.items()}
+    first = [tuple(r) for r in paths.first_path(frame, *ids, max_hops, min_hops, group=1).collect()]
+    assert first == [(*pair, *want[pair]) for pair in sorted(want)[:1]]
 
 
 def test_round_plans_read_files(spark):
