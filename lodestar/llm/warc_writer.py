@@ -120,7 +120,8 @@ def write_warc(pages: DataFrame, roll_bytes: int = ROLL_BYTES) -> tuple[str, Dat
     ends = slim.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high")).first()
     low, width = ends["low"] or 0, -(-((ends["high"] or 0) - (ends["low"] or 0) + 1) // CELLS)
     cell = F.coalesce(F.expr(f"(page_id - {low}L) div {width}L"), F.lit(-1))
-    ranges = F.broadcast(stored(_ranges(slim.withColumn("cell", cell)), "key-ranges"))
+    ranges = stored(_ranges(slim.withColumn("cell", cell)), "key-ranges")  # CELLS + 1 rows at most
+    n_ranges = ranges.agg(F.count_distinct("range")).first()[0] or 1
     # one row per repeated payload, repeated per salt: a payload of many pages is dealt over tasks
     first = stored(slim.where(f"size >= {LEAST_SHARED}").groupBy("digest").agg(
         F.count("*").alias("n"), F.min("page_id").alias("first")).where("n > 1")
@@ -130,7 +131,7 @@ def write_warc(pages: DataFrame, roll_bytes: int = ROLL_BYTES) -> tuple[str, Dat
                                "cell": cell})
     linked = (salted.join(first, ["digest", "salt"], "left")
               .withColumn("refers_to", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")))
-              .join(ranges, "cell"))
+              .join(F.broadcast(ranges), "cell"))
     folder = scratch_path(spark, "warc")
     target, path = fs.FileSystem.from_uri(folder)
     target.create_dir(path)
@@ -151,7 +152,7 @@ def write_warc(pages: DataFrame, roll_bytes: int = ROLL_BYTES) -> tuple[str, Dat
             yield _manifest(list(out.close()))
 
     sorted_rows = (linked.select("range", "page_id", "url", "html", "refers_to")
-                   .repartition("range").sortWithinPartitions("range", "page_id", "url"))
+                   .repartition(n_ranges, "range").sortWithinPartitions("range", "page_id", "url"))
     manifest = stored(sorted_rows.mapInArrow(
         run, "name string, records long, bytes long, sha256 string"), "warc-manifest")
     return folder, manifest
@@ -236,4 +237,5 @@ def read_warc(folder: str, manifest: DataFrame, with_payload: bool = False) -> D
 
     schema = ("page_id long, payload_bytes long, payload_digest string, record_type string, "
               "refers_to long, url string" + (", payload binary" if with_payload else ""))
-    return manifest.select("name").repartition("name").mapInArrow(run, schema)
+    files = max(manifest.count(), 1)
+    return manifest.select("name").repartition(files, "name").mapInArrow(run, schema)
