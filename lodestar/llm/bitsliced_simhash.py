@@ -328,9 +328,14 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     staying = (contents.select("content", "first")
                .join(groups.withColumnRenamed("node", "content"), "content", "left")
                .groupBy(F.coalesce("label", "content").alias("label"))
-               .agg(F.min("first").alias("first")).select("first.id", "first.h"))
-    rows_in = packed(docs, _id=F.col(id_col), _h=F.xxhash64(text_col))
-    met = (rows_in._id.eqNullSafe(staying.id)) & (rows_in._h == staying.h)
+               .agg(F.min("first").alias("first"))
+               .select(_never_null("first.id").alias("_id"), F.col("first.h").alias("_h")))
+    rows_in = packed(docs, _id=_never_null(id_col), _h=F.xxhash64(text_col))
     order = Window.partitionBy("_id", "_h").orderBy(F.lit(0))
-    return (rows_in.join(staying, met, "left_semi").withColumn("_n", F.row_number().over(order))
+    # the numbering uses the join's partitions: texts are moved once
+    return (rows_in.join(staying, ["_id", "_h"], "left_semi").withColumn("_n", F.row_number().over(order))
             .where("_n = 1").select("_row.*"))
+
+
+def _never_null(id_col: str):
+    return F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")), F.lit(""))
