@@ -131,7 +131,7 @@ def linked_in_buckets(radius: int):
     """Function for mapInArrow over (key, id, sig) sorted by key: links that join each bucket.
 
     Only a spanning forest of a block's pairs leaves it, so a group of m near copies gives
-    m - 1 links and not their square. Small buckets share a block.
+    m - 1 links and not their square. Small buckets share a block, but only members of one are linked.
     """
     def links(batches):
         keys, ids, sigs = np.empty(0, np.int64), np.empty(0, object), np.empty((0, 0), np.uint8)
@@ -174,7 +174,8 @@ def _forests(keys, ids, sigs, radius):
         to = ends[max(full, np.searchsorted(ends, at, "right"))]
         label = np.arange(to - at)
         for i, j in close_pairs(sigs[at:to], radius):
-            join_labels(label, i, j)
+            same = keys[at + i] == keys[at + j]
+            join_labels(label, i[same], j[same])
         hung = np.flatnonzero(label != np.arange(to - at))
         if len(hung):
             block = ids[at:to]

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -93,6 +94,13 @@ def test_one_of_each_group(docs, odd):
     assert simhash.one_of_each_group(odd.limit(0)).count() == 0
 
 
+def test_links_stay_inside_their_bucket():
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 2, 3], pa.int64()), pa.array(list("abcd")),
+                                        pa.array([b"\0" * 32] * 4)], names=["key", "id", "sig"])
+    links = [x for out in simhash.linked_in_buckets(48)([batch]) for x in zip(*map(pa.Array.to_pylist, out.columns))]
+    assert links == [("b", "a")]
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
