@@ -195,6 +195,16 @@ def _hot_keys(keyed: DataFrame, max_bucket: int) -> DataFrame:
                   .where(F.col("members") > max_bucket), "hot-buckets")
 
 
+def _tile_pairs(keyed: DataFrame, hot: DataFrame, max_bucket: int) -> DataFrame:
+    """The rows of hot buckets under a key for every pair of tiles: each two members share a key."""
+    tiles = F.ceil(F.col("members") / max_bucket).cast("int")
+    # a hot bucket holds over max_bucket rows, so there are few; its rows stay where they are
+    dealt = keyed.join(F.broadcast(hot), "key").select(
+        "key", "id", "sig", tiles.alias("n"), F.pmod(F.xxhash64("id", "key"), tiles).cast("int").alias("t"))
+    pairs = dealt.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).where("t <> u")
+    return pairs.select(F.xxhash64("key", F.least("t", "u"), F.greatest("t", "u")).alias("key"), "id", "sig")
+
+
 # ---- 64-bit fingerprints at two bits: every link is found -------------------------------------
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -310,8 +320,7 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     differ in at most ``radius`` bits: 39 are expected at a Jaccard similarity of 0.8, with a
     deviation of 6. Groups are what such pairs connect. Texts with the same words are copies;
     that holds for null and blank texts too, of which one row stays. Null ids come last.
-    Identical rows leave one row. A bucket above ``max_bucket`` is dealt into tiles, another way
-    in each band, so that its members still meet.
+    Identical rows leave one row. A bucket above ``max_bucket`` is compared in pairs of tiles.
     """
     slim = stored(sketches(docs, id_col, text_col, width, lanes, bands, rows), "sketches")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "h")
@@ -321,10 +330,7 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     keyed = contents.select(F.explode("keys").alias("key"), F.col("content").alias("id"), "sig")
     hot = _hot_keys(keyed, max_bucket)
     if not hot.isEmpty():
-        tiles = F.ceil(F.coalesce("members", F.lit(1)) / max_bucket)
-        keyed = keyed.join(hot, "key", "left").select(
-            F.when(tiles > 1, F.xxhash64("key", F.pmod(F.xxhash64("id", "key"), tiles)))
-            .otherwise(F.col("key")).alias("key"), "id", "sig")
+        keyed = keyed.join(hot, "key", "left_anti").unionAll(_tile_pairs(keyed, hot, max_bucket))
     groups = components(_bucket_links(keyed, radius))
     staying = (contents.select("content", "first")
                .join(groups.withColumnRenamed("node", "content"), "content", "left")

@@ -101,6 +101,16 @@ def test_links_stay_inside_their_bucket():
     assert links == [("b", "a")]
 
 
+def test_members_of_a_hot_bucket_all_meet(docs):
+    texts = []
+    for k in range(150):  # the ends of a pair may lie in any two tiles
+        words = prose(100 + k, 300).split()
+        texts += [" ".join(words), " ".join("changed" if w % 60 == 30 else x for w, x in enumerate(words))]
+    kept = [sorted(r["doc_id"] for r in simhash.one_of_each_group(docs(texts), max_bucket=m).collect())
+            for m in (1, 1 << 15)]
+    assert kept[0] == kept[1] and len(kept[0]) < 200
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
