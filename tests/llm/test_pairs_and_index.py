@@ -111,6 +111,27 @@ def test_members_of_a_hot_bucket_all_meet(docs):
     assert kept[0] == kept[1] and len(kept[0]) < 200
 
 
+def test_groups_are_pairs_of_four_fifths(docs):
+    texts, sets = [], []
+    for k in range(40):  # families of five whose members differ in about 2 to 14 of 300 places
+        base = prose(300 + k, 300).split()
+        for v in range(5):
+            step = 300 // (1 + (k + 2 * v) % 7)
+            texts.append(" ".join(f"new{k}v{v}" if w % step == 7 * v else x for w, x in enumerate(base)))
+    for text in texts:
+        own = text.split()
+        sets.append({tuple(own[w:w + 5]) for w in range(len(own) - 4)})
+    alike = [len(sets[i] & sets[j]) / len(sets[i] | sets[j]) if i // 5 == j // 5 else 0
+             for i in range(200) for j in range(i)]
+    pairs = [(i, j) for i in range(200) for j in range(i)]
+    label = groups(200, [p for p, s in zip(pairs, alike) if s >= 0.8])
+    want = sorted(set(label))
+    assert len(want) > 60 and sum(0.7 <= s < 0.8 for s in alike) > 20 and sum(s >= 0.8 for s in alike) > 20
+    for tile_rows in (1, 2, 256):  # the small ones compare representatives, then all across parts
+        kept = simhash.one_of_each_group(docs(texts), tile_rows=tile_rows).collect()
+        assert sorted(r["doc_id"] for r in kept) == want
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
