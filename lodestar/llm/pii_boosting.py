@@ -2,9 +2,10 @@
 
 Regular expressions propose spans, overlapping ones included. Those of the four base kinds that pass
 their check (Luhn, ranges, digit counts) are personal data. All other candidates are scored by
-gradient-boosted trees over format and context, with overlap of a base span as label; the
-check itself is no feature, so spans that look and stand like personal data score high too. The
-cutoff is calibrated on held-out documents. Everything is counted over the whole corpus: training
+gradient-boosted trees over format and context. Positive are those that overlap a base span or stand right
+after a hint word; negative those that fail a base check, are fragments of a longer word, or have a form
+that no hint word introduces. The rest is unlabelled: it is scored, but neither trains nor calibrates.
+The check itself is no feature. Cutoffs are calibrated on held-out documents, one for each generator. Everything is counted over the whole corpus: training
 rows are cells of equal features with their counts, of which there are at most about a million.
 """
 
@@ -36,7 +37,8 @@ GENERATORS = {
 PATTERNS = {**BASE, **GENERATORS}
 NEEDS = {"email": "[@]", "address": "[@]", "phone": "[+]"}  # characters that a match must hold
 HINTS = "(?i)(?:tel|phone|call|mail|card|account|ip|host|key|token|secret|password)\\W{0,4}$"
-FEATURES = ("made_by", "digits", "letters", "marks", "dots", "plus", "at", "before", "after", "hint")
+FORM = ("made_by", "digits", "letters", "marks", "dots", "plus", "at")
+FEATURES = (*FORM, "before", "after", "hint")
 PRECISION, LEAST_SPANS = 0.95, 30
 TREES, DEPTH = 12, 3
 
@@ -91,6 +93,14 @@ def _valid() -> Column:
             .otherwise(F.lit(False)))
 
 
+def _failed() -> Column:
+    """Whether a candidate has the digits of a card or the parts of an address, but not its check."""
+    digits = F.regexp_replace("hit", "[^0-9]+", "")
+    return (F.when(F.col("hit").rlike(r"^[0-9]+(\.[0-9]+){3}$"), ~F.forall(F.split("hit", r"\."), _small))
+            .when(F.col("hit").rlike("^[0-9\\x20.()+-]+$") & F.length(digits).between(16, 19), ~_luhn(digits))
+            .otherwise(F.lit(False)))
+
+
 def _side(text: Column) -> Column:
     return (F.when(text == "", 0).when(text.rlike("[\\x20\\x09-\\x0D]"), 1)
             .when(text.rlike("[\\p{L}\\p{N}]"), 2).otherwise(3))
@@ -116,9 +126,9 @@ def _features() -> dict[str, Column]:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(id, h, kind, start, end, base, near, features): every proposed span, in code points.
+    """(id, h, kind, start, end, base, near, failed, features): every proposed span, in code points.
 
-    ``base``: of a base kind and valid. ``near``: overlaps such a span. Rows that repeat an id and a text
+    ``base``: of a base kind and valid. ``near``: overlaps such a span. ``failed``: see ``_failed``. Rows that repeat an id and a text
     count once.
     """
     texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"),
@@ -134,18 +144,38 @@ def candidates(docs: DataFrame) -> DataFrame:
     near = (F.coalesce(F.max(F.when(F.col("base"), F.col("end"))).over(back) > F.col("start"), F.lit(False))
             | F.coalesce(F.min(F.when(F.col("base"), F.col("start"))).over(ahead) < F.col("end"), F.lit(False)))
     return spans.withColumn("near", near).select(
-        "id", "h", "kind", "start", "end", "base", "near",
+        "id", "h", "kind", "start", "end", "base", "near", _failed().alias("failed"),
         *[c.cast("double").alias(name) for name, c in _features().items()])
 
 
-def _cutoff(scored: DataFrame) -> float | None:
-    """The lowest score from which on held-out spans reach the precision; None if there is none."""
-    down = Window.orderBy(F.col("p").desc())  # at most one row per cell
-    sums = scored.groupBy("p").agg(F.sum("held").alias("n"), F.sum("held_near").alias("k"))
-    found = (sums.select("p", F.sum("n").over(down).alias("n"), F.sum("k").over(down).alias("k"))
+def _cutoffs(scored: DataFrame) -> dict[float, float]:
+    """By generator, the lowest score from which on labelled held-out spans reach the precision."""
+    down = Window.partitionBy("made_by").orderBy(F.col("p").desc())  # at most one row per cell
+    sums = scored.groupBy("made_by", "p").agg(F.sum("held").alias("n"), F.sum("held_k").alias("k"))
+    found = (sums.select("made_by", "p", F.sum("n").over(down).alias("n"), F.sum("k").over(down).alias("k"))
              .where((F.col("n") >= LEAST_SPANS) & (F.col("k") >= PRECISION * F.col("n")))
-             .agg(F.min("p").alias("p")).first())
-    return found["p"]
+             .groupBy("made_by").agg(F.min("p").alias("p")).collect())
+    return {r["made_by"]: r["p"] for r in found}
+
+
+def _labelled_cells(others: DataFrame) -> DataFrame:
+    """Features with n labelled and k positive spans of training documents, held and held_k of the others."""
+    held = F.pmod(F.xxhash64("h"), F.lit(5)) == 0
+    counted = lambda which: F.sum(F.when(which, 1).otherwise(0))
+    parts = {"": ~held, "held_": held}
+    cells = others.groupBy(*FEATURES).agg(*[c for name, part in parts.items() for c in (
+        counted(part).alias(name + "all"), counted(part & F.col("near")).alias(name + "near"),
+        counted(part & ~F.col("near") & F.col("failed")).alias(name + "failed"))])
+    fragment = (F.col("before") == 2) | (F.col("after") == 2)
+    hinted = (F.col("hint") == 1) & ~fragment
+    form = F.max(F.when(hinted, F.col("all")).otherwise(0)).over(Window.partitionBy(*FORM)) > 0
+    labelled = cells.withColumn("_form", form)
+    positive = lambda name: F.when(hinted, F.col(name + "all")).otherwise(F.col(name + "near"))
+    negative = lambda name: (F.when(hinted, 0).when(
+        fragment | ~F.col("_form"), F.col(name + "all") - F.col(name + "near")).otherwise(F.col(name + "failed")))
+    return labelled.select(
+        *FEATURES, (positive("") + negative("")).alias("n"), positive("").alias("k"),
+        (positive("held_") + negative("held_")).alias("held"), positive("held_").alias("held_k"))
 
 
 def _scores(vectors: DataFrame, model) -> DataFrame:
@@ -158,17 +188,12 @@ def select_spans(docs: DataFrame) -> DataFrame:
     """(id, h, kind, start, end, base): the base spans and those that the trees add.
 
     Added spans touch no base span; of overlapping ones the best scored stays. Without both kinds of
-    labelled candidates nothing is learned and nothing added.
+    labelled candidates nothing is learned and nothing added. A label after a hint word is weak: the
+    precision of the cutoffs is against such labels.
     """
     found = stored(candidates(docs), "pii-candidates")
     others = found.where(~F.col("kind").isin(*BASE))
-    held = F.pmod(F.xxhash64("h"), F.lit(5)) == 0
-    cell = others.groupBy(*FEATURES).agg(
-        F.sum(F.when(held, 0).otherwise(1)).alias("n"),
-        F.sum(F.when(~held & F.col("near"), 1).otherwise(0)).alias("k"),
-        F.sum(F.when(held, 1).otherwise(0)).alias("held"),
-        F.sum(F.when(held & F.col("near"), 1).otherwise(0)).alias("held_near"))
-    cells = stored(cell, "pii-cells")
+    cells = stored(_labelled_cells(others), "pii-cells")
     base = found.where("base").select("id", "h", "kind", "start", "end", F.lit(True).alias("base"))
     both = cells.agg(F.sum("k").alias("k"), F.sum("n").alias("n")).first()
     if not both["k"] or both["k"] == both["n"]:
@@ -180,10 +205,12 @@ def select_spans(docs: DataFrame) -> DataFrame:
     model = GBTClassifier(featuresCol="x", labelCol="y", weightCol="w", maxIter=TREES, maxDepth=DEPTH,
                           stepSize=0.3, seed=7).fit(training.select("x", "y", "w").repartition(2))
     scored = stored(_scores(vector.transform(cells), model), "pii-scores")
-    cutoff = _cutoff(scored)
-    if cutoff is None:
+    cutoffs = _cutoffs(scored)
+    if not cutoffs:
         return base
-    good = scored.where(F.col("p") >= cutoff).select(*FEATURES, "p")
+    passes = reduce(lambda a, cut: a | ((F.col("made_by") == cut[0]) & (F.col("p") >= cut[1])),
+                    cutoffs.items(), F.lit(False))
+    good = scored.where(passes).select(*FEATURES, "p")
     added = others.where(~F.col("near")).join(good, list(FEATURES)).select(
         "id", "h", "kind", "start", "end", "p")
     return base.unionAll(_islands(added, F.struct("p", F.col("end") - F.col("start"), -F.col("start"), "kind"))

@@ -68,6 +68,21 @@ def test_trees_add_spans_that_look_alike(docs):
     assert all(r["n_chars"] == len(r["text"]) for r in out)
 
 
+def test_secrets_after_a_hint_are_added_and_failed_cards_are_not(docs):
+    texts, secrets = [], {}
+    for k in range(400):
+        secret = hashlib.sha1(str(k).encode()).hexdigest()
+        digits = f"{4000 + k}12345678{k % 1000:03d}"
+        last = next(c for c in "0123456789" if luhn(digits + c) == (k % 2 == 0))
+        before = f"{prose(k, 9)} of {digits}{last} for {prose(k + 1, 9)} token = \""
+        secrets[k] = f"token:{len(before)}:{len(before) + 40}"
+        texts.append(f'{before}{secret}" {prose(k + 2, 9)}')
+    rows = {r["doc_id"]: r for r in pii_boosting.spans_by_document(docs(texts)).collect()}
+    assert all(secrets[k] in rows[k]["spans"] for k in range(400))
+    assert all(rows[k]["spans"] == secrets[k] for k in range(1, 400, 2))
+    assert all(rows[k]["n_card"] == 1 for k in range(0, 400, 2))
+
+
 def test_redaction_keeps_the_rest(docs, odd):
     texts = ["mail a@b.co now", "a@b.co", "x +1 (974) 555-3436", "plain", None, ""]
     out = pii_boosting.redacted(docs(texts))
