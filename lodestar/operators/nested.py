@@ -11,23 +11,26 @@ CHUNK_ROWS = 10_000
 
 
 def embed_children(parent: DataFrame, child: DataFrame, key: str, child_key: str, as_col: str,
-                   chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+                   chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
     """Parents with their children as a sorted list of structs.
 
     A parent with up to ``chunk_rows`` children is one document (``chunk`` 0). A larger
     one becomes ceil(children / chunk_rows) documents of about that size, numbered by
-    ``chunk``: every child is kept and no task holds an unbounded list. Parents without
-    children get an empty list.
+    ``chunk``: every child is kept and no task holds an unbounded list. With None every parent is
+    one document, whatever its size. Parents without children get an empty list.
     """
     columns = [c for c in child.columns if c != child_key]
-    sizes = child.groupBy(child_key).agg(
-        F.ceil(F.count("*") / F.lit(chunk_rows)).cast("int").alias("_chunks"))
-    large = sizes.where(F.col("_chunks") > 1)
-    # a hash of the place in the scan decides the chunk: equal children spread, and periodic ones too
-    numbered = child.withColumn("_row", F.xxhash64(F.monotonically_increasing_id()))
-    placed = (salted_join(numbered, large, [child_key], "left", spread_by=["_row"])
-              .withColumn("chunk", F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
-                  F.pmod(F.col("_row"), F.col("_chunks")).cast("int"))))
+    if chunk_rows is None:
+        placed = child.withColumn("chunk", F.lit(0))
+    else:
+        sizes = child.groupBy(child_key).agg(
+            F.ceil(F.count("*") / F.lit(chunk_rows)).cast("int").alias("_chunks"))
+        large = sizes.where(F.col("_chunks") > 1)
+        # a hash of the place in the scan decides the chunk: equal children spread, and periodic ones too
+        numbered = child.withColumn("_row", F.xxhash64(F.monotonically_increasing_id()))
+        placed = (salted_join(numbered, large, [child_key], "left", spread_by=["_row"])
+                  .withColumn("chunk", F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
+                      F.pmod(F.col("_row"), F.col("_chunks")).cast("int"))))
     lists = (placed.groupBy(F.col(child_key).alias(key), "chunk")
              .agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(as_col)))
     empty = F.array().cast(lists.schema[as_col].dataType)

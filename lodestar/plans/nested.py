@@ -8,8 +8,8 @@ from ..operators import nested
 from .registry import query
 
 
-def _documents(t):
-    return nested.embed_children(t.book, t.edition, "id", "book", "editions")
+def _documents(t, **chunks):
+    return nested.embed_children(t.book, t.edition, "id", "book", "editions", **chunks)
 
 
 @query("""select b.id, b.name, b.authors, 0 as chunk, count(e.edition) as n_editions,
@@ -17,11 +17,11 @@ def _documents(t):
         as editions
     from book b left join edition e on e.book = b.id group by b.id, b.name, b.authors""")
 def embed_children(t):
-    """The documents; the list is shown as text."""
+    """The documents, one of each book at every size; the list is shown as text."""
     shown = F.transform("editions", lambda e: F.concat_ws(":", e["edition"], e["year"], e["owned"]))
-    return _documents(t).select("id", "name", "authors", "chunk",
-                                F.size("editions").cast("long").alias("n_editions"),
-                                F.array_join(shown, " ").alias("editions"))
+    return _documents(t, chunk_rows=None).select(
+        "id", "name", "authors", "chunk", F.size("editions").cast("long").alias("n_editions"),
+        F.array_join(shown, " ").alias("editions"))
 
 
 @query("select b.id, coalesce(sum(e.owned), 0)::bigint as owned from book b left join edition e on e.book = b.id group by b.id")

@@ -2,11 +2,13 @@
 
 import random
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodestar.operators import graph, motif, nested, ordering, relational, skew, suffix
+from lodestar.plans import nested as plans
 
 HOT = dict(share=0.1, min_rows=1)
 
@@ -178,6 +180,15 @@ def test_large_parent_is_split_into_chunks(spark):
     assert owned == {1: sum(i % 4 for i in range(100)), 2: 3, 3: 0}
 
 
+def test_embedding_query_has_one_document_of_each_book(spark):
+    book = spark.createDataFrame([(1, "p", "x"), (2, "q", "y")], "id long, name string, authors string")
+    edition = spark.range(nested.CHUNK_ROWS + 1).select(
+        F.lit(1).cast("long").alias("book"), F.col("id").alias("edition"), F.lit(2000).alias("year"),
+        F.lit(1).alias("owned"))
+    found = plans.embed_children(SimpleNamespace(book=book, edition=edition)).collect()
+    assert sorted((r["id"], r["chunk"], r["n_editions"]) for r in found) == [(1, 0, nested.CHUNK_ROWS + 1), (2, 0, 0)]
+
+
 def test_known_documents(spark):
     book = spark.createDataFrame([("3", "Systems")], "id string, name string").withColumn(
         "id", F.col("id").cast("long"))
