@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bitsliced_simhash, byte_cnn, external_shuffle, kneser_ney, pii_boosting, positional_index, quality_rules,
-    residual_packing, url_automaton, warc_writer,
+    bitsliced_simhash, byte_cnn, external_shuffle, filter_audit, hard_negatives, kneser_ney, pii_boosting,
+    positional_index, quality_rules, residual_packing, url_automaton, warc_writer, window_packing,
 )
 
 QUERIES, ORACLE = {}, {}
@@ -225,3 +225,79 @@ def op6_url_automaton(spark, sf_dir):
 def op10_kneser_ney(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     return kneser_ney.scored(docs, kneser_ney.learn(docs.where(kneser_ney.in_training())))
+
+
+@query()
+def op11_window_packing(spark, sf_dir):
+    return window_packing.packed_windows(_table(spark, sf_dir, "documents"), byte_bpe())
+
+
+@query("""
+with base as (
+    select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+marks as (
+    select doc_id, max((quality = 1)::int) as is_good, max((toxic = 1)::int) as is_toxic
+    from labels group by doc_id),
+judged as (
+    select part, is_good, is_toxic, [
+        len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+        100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 3 * length(t), regexp_matches(t, '[#$%&*|]'),
+        coalesce(b.doc_id > min(b.doc_id) over (partition by t), false)] as fails
+    from base b left join marks m on b.doc_id = m.doc_id),
+cells as (
+    select part, fails, count(*) as n, coalesce(sum(is_good), 0) as good, coalesce(sum(is_toxic), 0) as toxic
+    from judged group by part, fails),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+    select a.x || b.x || c.x || d.x || e.x as filter_order
+    from letters a, letters b, letters c, letters d, letters e
+    where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps as (
+    select filter_order, step, substr(filter_order, step, 1) as letter,
+        [ascii(substr(filter_order, k, 1)) - 64 for k in range(1, step)] as earlier
+    from orders, (select unnest(range(1, 6)) as step)),
+walked as (
+    select *, fails[ascii(letter) - 64] as failed, list_contains([fails[k] for k in earlier], true) as gone
+    from cells, steps),
+summed as (
+    select part, filter_order, step, letter,
+        sum(case when not gone and not failed then n else 0 end)::bigint as kept,
+        sum(case when not gone and failed then n else 0 end)::bigint as removed,
+        sum(case when gone and failed then n else 0 end)::bigint as redundant,
+        sum(case when failed and len([f for f in fails if f]) = 1 then n else 0 end)::bigint as unique_fails,
+        sum(case when not gone and failed then good else 0 end)::bigint as good_lost,
+        sum(case when not gone and failed then toxic else 0 end)::bigint as toxic_lost
+    from walked group by all)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    (sum(removed) over (partition by part, letter))::bigint as shapley
+from summed
+""")
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@query("""
+with usable as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        [floor(256 * x::double) for x in embedding] as v
+    from embeddings where vec_id is not null and label is not null and embedding is not null
+        and not list_contains([coalesce(isfinite(x), false) for x in embedding], false)),
+scored as (
+    select a.vec_id as anchor_id, r.vec_id as other_id, a.label = r.label as same,
+        list_inner_product(a.v, r.v)::bigint as score
+    from usable a join usable r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0),
+positives as (
+    select anchor_id, other_id as positive_id, score as positive_score from scored where same
+    qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, positive_id,
+    (row_number() over (partition by p.anchor_id, positive_id order by score desc, other_id))::int as rank,
+    other_id as negative_id, positive_score, score as negative_score
+from positives p join scored s on p.anchor_id = s.anchor_id and not same
+    and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+qualify rank <= 5
+""")
+def op13_threshold_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.usable(_table(spark, sf_dir, "embeddings"), label)
+    return hard_negatives.mined(rows, F.col("vec_id") % 100 == 0)
