@@ -12,22 +12,26 @@ import os
 import uuid
 from collections import Counter
 from dataclasses import dataclass
+from math import isqrt
 from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import ASCII_LOWER, crc_of_id, stored, text_bytes
+from .common import crc_of_id, stored
 
 END = b""  # no word is empty
 WORD_SHARDS = 64  # by the highest six bits of the hash
 STATE_ROWS = 1 << 16
 PAIRS_A_SHARD = 2_000_000
 WORDS_AT_ONCE, TOKENS_AT_ONCE, CACHED = 400_000, 2_000_000, 300_000
+# bytes of texts that are split into words together; a longer text goes alone
+BYTES_AT_ONCE = 1 << 22
 SHIFT = 32  # a pair is the first word's number, shifted, and the second's; both below 2 ** 31
 
 
@@ -64,6 +68,7 @@ class Model:
     folder: str
     bases: list[int]        # number of the first word of each word shard
     pair_shards: int = 1
+    fan: int = 1            # shards that hold the pairs of one first word
     tokens: int = 0         # N
     words: int = 0          # V
     discounts: tuple = (0.0, 0.0, 0.0)
@@ -74,6 +79,10 @@ class Model:
         """The number of the context before a text's first word."""
         return self.words
 
+    def shard_of(self, first, second):
+        """The shard of a pair, for arrays and for columns: a first word's pairs lie ``fan`` shards apart."""
+        return (first + second % self.fan * (self.pair_shards // self.fan)) % self.pair_shards
+
 
 def discounts_from(n: dict[int, int]) -> tuple[float, float, float]:
     """The three discounts from how many entries occur once to four times.
@@ -94,12 +103,14 @@ class Numbers:
         self._shards = [_map(model.folder, f"word-{s}", "i8") for s in range(WORD_SHARDS)]
         self._known: dict[bytes, int] = {}
 
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        new = [w for w in set(words) if w not in self._known]
+    def __call__(self, tokens: Tokens) -> np.ndarray:
+        """The number of every token; each different word is looked up once."""
+        words = tokens.kinds
+        new = [w for w in words if w not in self._known]
         if new:
             if len(self._known) > CACHED:
                 self._known.clear()
-                new = list(set(words))
+                new = words
             hashes = np.fromiter(map(word_hash, new), np.int64, len(new))
             found = np.full(len(new), -1, np.int64)
             shard = (hashes >> 58) + WORD_SHARDS // 2
@@ -107,7 +118,7 @@ class Numbers:
                 here = np.flatnonzero(shard == s)
                 found[here] = _find(self._shards[s], hashes[here], self._bases[s])
             self._known.update(zip(new, found.tolist()))
-        return np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))
+        return np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))[tokens.codes]
 
 
 def _find(array: np.ndarray, values: np.ndarray, base: int = 0) -> np.ndarray:
@@ -119,9 +130,43 @@ def _find(array: np.ndarray, values: np.ndarray, base: int = 0) -> np.ndarray:
     return np.where(array[at] == values, at + base, -1)
 
 
-def tokens_of(text: bytes) -> list[bytes]:
-    """Words between ASCII blanks with A-Z in lower case, and one end."""
-    return [*text.translate(ASCII_LOWER).split(), END]
+@dataclass
+class Tokens:
+    """Words of some texts: the different ones, the place of each among them, and how many a text has."""
+
+    kinds: list[bytes]
+    codes: np.ndarray
+    sizes: np.ndarray
+
+
+def tokenised(column: pa.Array):
+    """(first row, Tokens) for runs of a string column's rows; null counts as empty.
+
+    Words between ASCII blanks with A-Z in lower case, and one end for each text.
+    """
+    texts = pc.fill_null(column.cast(pa.large_string()), "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + BYTES_AT_ONCE, "right")))
+        yield at, _split(texts.slice(at, to - at))
+        at = to
+
+
+def _split(texts: pa.Array) -> Tokens:
+    words = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(texts)))
+    encoded = words.flatten().dictionary_encode()
+    kinds = encoded.dictionary.cast(pa.large_binary()).to_pylist()
+    codes = encoded.indices.to_numpy().astype(np.int64)
+    sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    # an empty text splits into one empty word, which is its end; the others get theirs
+    end = kinds.index(END) if END in kinds else len(kinds)
+    if end == len(kinds):
+        kinds.append(END)
+    ends = np.cumsum(sizes)
+    own = codes[ends - 1] == end
+    return Tokens(kinds, np.insert(codes, ends[~own], end), sizes + ~own)
 
 
 def in_training(id_col: str = "doc_id"):
@@ -131,8 +176,8 @@ def in_training(id_col: str = "doc_id"):
 def _count_words(batches):
     count = Counter()
     for batch in batches:
-        for text in text_bytes(batch.column(0)):
-            count.update(tokens_of(text))
+        for _, tokens in tokenised(batch.column(0)):
+            count.update(dict(zip(tokens.kinds, np.bincount(tokens.codes, minlength=len(tokens.kinds)).tolist())))
             if len(count) > WORDS_AT_ONCE:
                 yield _word_rows(count)
                 count = Counter()
@@ -174,6 +219,14 @@ def _store_words(folder: str):
     return lambda batches: _by_shard(batches, write)
 
 
+def _before(ids: np.ndarray, sizes: np.ndarray, start: int) -> np.ndarray:
+    """The token before each token, ``start`` before the first of a text."""
+    before = np.empty_like(ids)
+    before[1:] = ids[:-1]
+    before[np.cumsum(sizes) - sizes] = start
+    return before
+
+
 def _count_pairs(model: Model):
     def run(batches):
         numbers, held, size = Numbers(model), [], 0
@@ -184,10 +237,9 @@ def _count_pairs(model: Model):
                                               names=["pair", "n"])
 
         for batch in batches:
-            for text in text_bytes(batch.column(0)):
-                own = numbers(tokens_of(text))
-                before = np.concatenate([[model.start], own[:-1]])
-                held.append((before << SHIFT) | own)
+            for _, tokens in tokenised(batch.column(0)):
+                own = numbers(tokens)
+                held.append((_before(own, tokens.sizes, model.start) << SHIFT) | own)
                 size += len(own)
                 if size >= TOKENS_AT_ONCE:
                     yield flush()
@@ -200,7 +252,7 @@ def _count_pairs(model: Model):
 def _store_pairs(folder: str):
     """Writes a shard's pairs; yields what its contexts and words add up to.
 
-    All pairs of a first word lie in one shard. Rows with a negative id -k tell how many pairs occur k
+    A word's rows from several shards are added up later. Rows with a negative id -k tell how many pairs occur k
     times.
     """
     def write(shard, columns):
@@ -253,10 +305,12 @@ def learn(texts: DataFrame) -> Model:
     if not model.words:
         return model
     model.pair_shards = max(16, -(-model.tokens // PAIRS_A_SHARD))
+    model.fan = isqrt(model.pair_shards)
 
-    of = F.pmod(F.shiftright("pair", SHIFT), F.lit(model.pair_shards)).cast("int")
+    second = F.col("pair").bitwiseAND(F.lit((1 << SHIFT) - 1))
+    of = model.shard_of(F.shiftright("pair", SHIFT), second).cast("int")
     pairs = (texts.mapInArrow(_count_pairs(model), "pair long, n int")
-             .select(of.alias("shard"), "pair", "n").repartition(model.pair_shards, "shard")
+             .select(of.alias("shard"), "pair", "n").repartitionById(model.pair_shards, F.col("shard"))
              .groupBy("shard", "pair").agg(F.sum("n").alias("n"))
              .sortWithinPartitions("shard", "pair"))
     sums = stored(pairs.mapInArrow(
@@ -315,7 +369,7 @@ class Scorer:
         return out
 
     def _times_of(self, pairs: np.ndarray) -> np.ndarray:
-        shard = (pairs >> SHIFT) % self.model.pair_shards
+        shard = self.model.shard_of(pairs >> SHIFT, pairs & ((1 << SHIFT) - 1))
         order = np.lexsort((pairs, shard))
         out, pairs, shard = np.zeros(len(pairs), np.int64), pairs[order], shard[order]
         for a, b in _runs(shard):
@@ -326,17 +380,15 @@ class Scorer:
             out[order[a:b]] = found
         return out
 
-    def __call__(self, texts: list[list[bytes]]):
-        """(n_tokens, n_known, base_score, score) as arrays, for texts given as tokens."""
-        model = self.model
-        sizes = np.array([len(t) for t in texts])
-        starts = np.cumsum([0, *sizes])[:-1]
-        ids = self.numbers([w for t in texts for w in t])
+    def __call__(self, tokens: Tokens):
+        """(n_tokens, n_known, base_score, score) as arrays, one value for each text."""
+        model, sizes = self.model, tokens.sizes
+        starts = np.cumsum(sizes) - sizes
+        ids = self.numbers(tokens)
         known = ids >= 0
         count, lower = np.zeros(len(ids), np.int64), np.full(len(ids), model.unknown)
         back, total = np.ones(len(ids)), np.ones(len(ids))
-        before = np.concatenate([[0], ids[:-1]])
-        before[starts] = model.start
+        before = _before(ids, sizes, model.start)
         times = np.zeros(len(ids), np.int64)
         if model.words:
             kinds, of = np.unique(ids[known], return_inverse=True)
@@ -370,21 +422,13 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches):
         score = Scorer(model)
         for batch in batches:
-            held, size, at = [], 0, 0
-            for text in text_bytes(batch.column(2)):
-                held.append(tokens_of(text))
-                size += len(held[-1])
-                if size >= TOKENS_AT_ONCE // 8:
-                    yield rows(score, batch.slice(at, len(held)), held)
-                    at, held, size = at + len(held), [], 0
-            if held:
-                yield rows(score, batch.slice(at), held)
-
-    def rows(score, part, texts):
-        n, known, base, own = score(texts)
+            for at, tokens in tokenised(batch.column(2)):
+                yield rows(batch.slice(at, len(tokens.sizes)), *score(tokens))
+
+    def rows(part, n, known, base, own):
         return pa.RecordBatch.from_arrays(
             [part.column(0), part.column(1), pa.array(n.astype(np.int64)), pa.array(known),
-             pa.array(np.full(len(texts), model.tokens, np.int64)), pa.array(base), pa.array(own)],
+             pa.array(np.full(len(n), model.tokens, np.int64)), pa.array(base), pa.array(own)],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     slim = docs.select("doc_id", (~in_training()).alias("held_out"), "text")

@@ -4,6 +4,8 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -95,7 +97,8 @@ def test_redaction_keeps_the_rest(docs, odd):
 
 def test_model_equals_brute_force(spark, docs, odd):
     texts = [" ".join(prose(k % 7, 30 + k).split()[:25 + k % 9]).upper() for k in range(120)] + [None, "", " \n"]
-    tokens = [kneser_ney.tokens_of((t or "").encode()) for t in texts]
+    lower = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+    tokens = [[*re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().translate(lower)), b""] for t in texts]
     table = docs(texts)
     model = kneser_ney.learn(table.where(kneser_ney.in_training()))
     c, b = Counter(), Counter()
@@ -157,3 +160,21 @@ def test_pipeline(spark, odd):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd.limit(0), SF_DIR).count() == 0
         stage(spark, odd, SF_DIR).count()
+
+
+def test_tokens_of_odd_columns():
+    texts = [None, "", "\x0b a B\x1fc\t", "A é É", " ", "x" * 9_000_000, "b a"]
+    found = []
+    for at, tokens in kneser_ney.tokenised(pa.array(texts)):
+        ends = np.cumsum(tokens.sizes)
+        assert at == len(found)
+        found += [[tokens.kinds[c] for c in tokens.codes[b - n:b]] for b, n in zip(ends, tokens.sizes)]
+    assert found == [[b""], [b""], [b"a", b"b\x1fc", b""], [b"a", "é É".encode(), b""], [b""],
+                     [b"x" * 9_000_000, b""], [b"b", b"a", b""]]
+
+
+def test_pairs_of_one_word_lie_in_several_shards():
+    model = kneser_ney.Model("", [], pair_shards=100, fan=10)
+    assert {model.shard_of(7, k) for k in range(1000)} == {7 + 10 * k for k in range(10)}
+    several = model.shard_of(np.full(5, 95), np.arange(5))
+    assert several.tolist() == [95, 5, 15, 25, 35]
