@@ -20,6 +20,8 @@ SLOP = 2
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 # rows of 16 bytes that one pass over the texts broadcasts
 TERMS_AT_ONCE = 1 << 20
+# the same for windows, rows of some 100 bytes
+WINDOWS_AT_ONCE = 1 << 17
 _MET = "id <=> l_id and h = l_h and tid = l_tid and pos = l_pos"
 
 
@@ -46,9 +48,9 @@ def _texts(docs: DataFrame) -> DataFrame:
                        index_words(F.col("text")).alias("w"))
 
 
-def _in_blocks(terms: DataFrame) -> list[DataFrame]:
+def _in_blocks(terms: DataFrame, at_once: int = TERMS_AT_ONCE) -> list[DataFrame]:
     """``terms`` (tid, ...) cut into parts of bounded size, each marked for broadcast."""
-    blocks = -(-terms.count() // TERMS_AT_ONCE) or 1
+    blocks = -(-terms.count() // at_once) or 1
     return [F.broadcast(terms.where(F.pmod("tid", F.lit(blocks)) == b)) for b in range(blocks)]
 
 
@@ -68,22 +70,23 @@ def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def lookups(found: DataFrame, counts: DataFrame) -> DataFrame:
-    """(wid, words, t1, o1, t2, o2, t3, o3): each window's rarest terms and their offsets.
+    """(wid, words, whole, t1, o1, t2, o2, t3, o3): each window's rarest terms and their offsets.
 
-    A window with a term that occurs nowhere cannot occur and is left out. t2 and t3 are null for a
-    window of fewer different terms.
+    Terms that occur nowhere are passed over; ``whole`` is false for a window with one, which cannot
+    occur as a phrase. It is kept only if three others occur. Equally rare terms go by their text. t2 and
+    t3 are null for a window of fewer different terms.
     """
     terms = (found.select("wid", F.posexplode("words").alias("off", "term"))
-             .select("wid", "off", F.xxhash64("term").alias("tid"))
-             .groupBy("wid", "tid").agg(F.min("off").alias("off"))
-             .join(counts, "tid", "left"))
-    order = Window.partitionBy("wid").orderBy("n", "tid")
+             .groupBy("wid", "term").agg(F.min("off").alias("off"))
+             .withColumn("tid", F.xxhash64("term")).join(counts, "tid", "left"))
+    order = Window.partitionBy("wid").orderBy(F.col("n").asc_nulls_last(), "term")
     ranked = terms.withColumn("r", F.row_number().over(order))
+    rare = F.col("n").isNotNull()
     wide = ranked.groupBy("wid").agg(
-        F.max(F.col("n").isNull()).alias("absent"),
-        *[F.max(F.when(F.col("r") == k, F.col(c))).alias(f"{name}{k}")
+        F.min(rare).alias("whole"), F.count_if(rare).alias("occurring"),
+        *[F.max(F.when(rare & (F.col("r") == k), F.col(c))).alias(f"{name}{k}")
           for k in range(1, RAREST + 1) for c, name in (("tid", "t"), ("off", "o"))])
-    return found.join(wide.where("not absent").drop("absent"), "wid")
+    return found.join(wide.where(f"whole or occurring >= {RAREST}").drop("occurring"), "wid")
 
 
 def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -101,24 +104,50 @@ def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
         for block in _in_blocks(terms)])
 
 
-def matches(docs: DataFrame, items: DataFrame, slop: int = SLOP) -> DataFrame:
-    """(id, h, wid, start, n, slack): windows that occur in texts, from word ``start`` on.
+def _words_at(start: Column, pos: Column, size: Column) -> Column:
+    """``size`` words from word ``start`` on, taken from the words around word ``pos``."""
+    skipped = F.greatest(pos - (WINDOW - 1), F.lit(0))
+    return F.slice("around", start - skipped + 1, size)
 
-    slack 0: the exact phrase, n words. Above: the three rarest terms stand near each other, off their
-    places by at most ``slop`` words each (slack in all), and the phrase is not there exactly. ``h``,
-    a hash of the text, tells rows of one id apart. Rows that repeat an id and a text give one match.
-    """
+
+def _lookups_of(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = stored(windows(items).groupBy("wid").agg(F.any_value("words").alias("words")), "windows")
     vocabulary = stored(found.select(F.explode("words").alias("term")).select(
         F.xxhash64("term").alias("tid")).distinct(), "vocabulary")
-    looks = stored(lookups(found, term_counts(docs, vocabulary)), "lookups")
+    return stored(lookups(found, term_counts(docs, vocabulary)), "lookups")
+
+
+def phrases(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """(id, h, wid): windows that occur in texts as exact phrases; see ``matches``.
+
+    The list of a window's rarest term holds the words around, in which the other terms of the phrase
+    are looked for at their offsets. So only these lists are stored, and none is shuffled.
+    """
+    looks = _lookups_of(docs, items).where("whole").select(F.col("t1").alias("tid"), "o1", "wid", "words")
+    terms = stored(looks.select("tid").distinct().withColumn("first", F.lit(True)), "rare-terms")
+    index = stored(postings(docs, terms), "postings")
+    start = F.col("pos") - F.col("o1")
+    return _union([
+        index.join(block, "tid").where(start >= 0)
+        .where(_words_at(start, F.col("pos"), F.size("words")) == F.col("words")).select("id", "h", "wid")
+        for block in _in_blocks(looks, WINDOWS_AT_ONCE)]).distinct()
+
+
+def matches(docs: DataFrame, items: DataFrame, slop: int = SLOP) -> DataFrame:
+    """(id, h, wid, start, n, exact, slack): windows that occur in texts, from word ``start`` on.
+
+    exact: the phrase, n words. Else its three rarest terms that occur anywhere in ``docs`` stand near
+    their places, off by at most ``slop`` words each and by ``slack`` in all, but not the phrase. ``h``,
+    a hash of the text, tells rows of one id apart. Rows that repeat an id and a text give one match.
+    """
+    looks = _lookups_of(docs, items)
     rare = looks.select(F.explode(F.array(*[
         F.struct(F.col(f"t{k}").alias("tid"), F.lit(k == 1).alias("first"))
         for k in range(1, RAREST + 1)])).alias("t")).select("t.*").where("tid is not null")
     terms = stored(rare.groupBy("tid").agg(F.max("first").alias("first")), "rare-terms")
     index = stored(postings(docs, terms), "postings")
 
-    plain = looks.drop("words").withColumn("n", F.lit(0))
+    plain = looks.drop("words", "whole")
     live = (index.where("around is not null").select("tid", "id", "h", "pos")
             .join(plain.withColumnRenamed("t1", "tid"), "tid")
             .withColumn("start", F.col("pos") - F.col("o1")).where("start >= 0")
@@ -138,14 +167,10 @@ def matches(docs: DataFrame, items: DataFrame, slop: int = SLOP) -> DataFrame:
     # the words around the rarest term decide on the exact phrase
     at = best.withColumn("pos", F.col("start") + F.col("o1")).join(
         looks.select("wid", "words", F.col("t1").alias("tid")), "wid")
-    skipped = F.greatest(F.col("pos") - (WINDOW - 1), F.lit(0))
-    same = F.slice("around", F.col("start") - skipped + 1, F.size("words")) == F.col("words")
+    same = _words_at(F.col("start"), F.col("pos"), F.size("words")) == F.col("words")
     return (at.join(_listed(index.where("around is not null"), "around"), F.expr(_MET))
-            .select("id", "h", "wid", "start", F.size("words").alias("n"),
-                    F.when(same, 0).when(F.col("slack") > 0, F.col("slack")).alias("slack"))
-            .where("slack is not null").distinct())
-
-
+            .select("id", "h", "wid", "start", F.size("words").alias("n"), same.alias("exact"), "slack")
+            .distinct())
 
 
 def _listed(index: DataFrame, *more: str) -> DataFrame:
@@ -156,17 +181,17 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): n_words, n_hit, n_items, items_sha256, contaminated, n_near.
 
     n_hit counts words inside an occurring window, n_items the items with one, n_near the proximity
-    matches. Null and empty texts have no words and no hits; rows with a null id are judged too.
+    matches, each a window and a place. Null and empty texts have no words and no hits; rows with a null id are judged too.
     """
     found = stored(matches(docs, items), "matches")
-    exact = found.where("slack = 0")
+    exact = found.where("exact")
     words = exact.select("id", "h", F.explode(F.sequence(
         F.col("start"), F.col("start") + F.col("n") - 1)).alias("pos")).distinct()
     members = windows(items).select("wid", F.col("item_id").cast("string").alias("item")).distinct()
     named = exact.select("id", "h", "wid").distinct().join(members, "wid")
     parts = [words.groupBy("id", "h").agg(F.count("*").alias("n_hit")),
              named.groupBy("id", "h").agg(F.array_sort(F.collect_set("item")).alias("items")),
-             found.where("slack > 0").groupBy("id", "h").agg(F.count("*").alias("n_near"))]
+             found.where("not exact").groupBy("id", "h").agg(F.count("*").alias("n_near"))]
     empty = F.array().cast("array<string>")
     wide = [("n_hit", F.lit(0)), ("items", empty), ("n_near", F.lit(0))]
     union = _union([part.select("id", "h", *[
@@ -187,7 +212,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no window of ``items`` occurs, with all their columns."""
-    hit = stored(matches(docs, items).where("slack = 0").select("id", "h").distinct(), "contaminated")
+    hit = stored(phrases(docs, items).select("id", "h").distinct(), "contaminated")
     rows = packed(docs, _id=F.col("doc_id"), _h=F.xxhash64("text"))
     met = rows._id.eqNullSafe(hit.id) & (rows._h == hit.h)
     return rows.join(hit, met, "left_anti").select("_row.*")

@@ -170,12 +170,13 @@ def judge(docs: DataFrame, labels: DataFrame, **risk: float) -> DataFrame:
 
 
 def kept(docs: DataFrame, labels: DataFrame, **risk: float) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, with all their columns, shuffling no text."""
-    slim = docs.select("doc_id", stratum("lang").alias("stratum"), "text")
-    counts = stored(measured(slim).drop("text"), "rule-counts")
-    by = verdict(certified_cutoffs(counts, labels.select("doc_id", "quality"), **risk))
-    rows = measured(packed(docs, stratum=stratum("lang"), text=F.col("text")))
-    # a filter on counts alone would be pushed below them and form every one of them anew
-    judged = rows.select("_row", (~F.col("base_failed") & by.isNull()).alias("_kept"),
-                         F.monotonically_increasing_id().alias("_order"))
-    return judged.where("_kept and _order >= 0").select("_row.*")
+    """The rows of ``docs`` that ``judge`` keeps, with all their columns, shuffling no text.
+
+    Rows are measured once and written with their counts, for the cutoffs need the counts of all
+    labelled documents. Rows that repeat another one are judged alike; a null text counts as empty and
+    fails; an empty table stays empty.
+    """
+    rows = measured(packed(docs, doc_id=F.col("doc_id"), stratum=stratum("lang"), text=F.col("text")))
+    counts = stored(rows.drop("text"), "rule-counts")
+    by = verdict(certified_cutoffs(counts.drop("_row"), labels.select("doc_id", "quality"), **risk))
+    return counts.where(~F.col("base_failed") & by.isNull()).select("_row.*")

@@ -34,7 +34,7 @@ GROUP_WINDOWS = 4096
 ROWS_OUT = 20_000
 
 
-@dataclass
+@dataclass(slots=True)
 class Piece:
     doc_id: Any
     start: int
@@ -46,7 +46,7 @@ class Piece:
                 Piece(self.doc_id, self.start + at, self.ids[at:], self.doc_tokens))
 
 
-@dataclass
+@dataclass(slots=True)
 class Window:
     """Pieces in a row; also what is to be placed, a new text or an earlier round's window."""
 
@@ -55,10 +55,14 @@ class Window:
 
     def add(self, pieces: list[Piece]) -> None:
         self.pieces += pieces
-        self.fill += sum(len(p.ids) for p in pieces)
+        for piece in pieces:
+            self.fill += len(piece.ids)
 
     def take(self, size: int) -> list[Piece]:
         """Takes the first ``size`` ids away."""
+        if size == self.fill:
+            taken, self.pieces, self.fill = self.pieces, [], 0
+            return taken
         taken, left = [], size
         while left:
             piece = self.pieces.pop(0)
@@ -146,7 +150,7 @@ def _rows(windows: Iterator[tuple[Window, bool]], doc_type: pa.DataType, round_:
         offset = 0
         for p in window.pieces:
             size = len(p.ids)
-            row = (p.doc_id, p.start, size, zlib.crc32(p.ids.tobytes()) if gone else 0, p.doc_tokens, number,
+            row = (p.doc_id, p.start, size, zlib.crc32(p.ids) if gone else 0, p.doc_tokens, number,
                    offset, None if gone else window.fill, None if gone else p.ids.view("<i4"))
             for column, value in zip(columns, row):
                 column.append(value)
@@ -167,17 +171,16 @@ def _schema(doc_type: str) -> str:
 def _first_round(tokenizer: str, end_id: int, **shape: int):
     def run(batches):
         encode, packer, kind = WordCachedEncoder(tokenizer), Packer(**shape), None
+        end = np.array([end_id], np.uint32).tobytes()
 
         def windows():
             nonlocal kind
             for batch in batches:
                 kind = batch.column(0).type
                 for doc_id, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-                    ids = np.append(np.frombuffer(encode(text.decode("utf-8")), np.uint32),
-                                    np.uint32(end_id)).astype("<u4")
-                    item = Window()
-                    item.add([Piece(doc_id, 0, ids, len(ids))])
-                    yield from ((w, True) for w in packer.place(item))
+                    ids = np.frombuffer(encode(text.decode("utf-8")) + end, np.uint32).astype("<u4", copy=False)
+                    for window in packer.place(Window([Piece(doc_id, 0, ids, len(ids))], len(ids))):
+                        yield window, True
             yield from ((w, False) for w in packer.left())
 
         source = windows()

@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -155,6 +156,27 @@ def brute(texts, items):
     return out
 
 
+def brute_near(texts, items, repeated, slop=2):
+    """Windows whose three rarest occurring terms stand near their places, but not the phrase."""
+    corpus = Counter(w for text in [*texts.values(), repeated] for w in words(text))
+    windows = {tuple(q[s:s + 10]) for _, content in items for q in [words(content)]
+               for s in range(max(1, len(q) - 9) if q else 0)}
+    out = Counter()
+    for window in windows:
+        terms = sorted((t for t in set(window) if corpus[t]), key=lambda t: (corpus[t], t))
+        if len(terms) < min(3, len(set(window))) or len(terms) < len(set(window)) and len(terms) < 3:
+            continue
+        rare = [(t, window.index(t)) for t in terms[:3]]
+        for k, text in texts.items():
+            own = words(text)
+            for pos, w in enumerate(own):
+                start = pos - rare[0][1]
+                if w != rare[0][0] or start < 0 or tuple(own[start:start + len(window)]) == window:
+                    continue
+                out[k] += all(t in own[max(start + o - slop, 0):start + o + slop + 1] for t, o in rare[1:])
+    return out
+
+
 def test_contamination_equals_brute_force(spark, docs):
     a, b = prose(1, 40), prose(2, 12)
     items = [(1, a), (2, b), (3, "Oak PINE"), (4, ""), (5, None), (6, "the the the the the the the the the the the"),
@@ -162,15 +184,17 @@ def test_contamination_equals_brute_force(spark, docs):
     texts = {0: prose(3, 50) + " " + a + " " + prose(4, 20), 1: b.upper() + "; " + b, 2: "oak, pine oak pine",
              3: None, 4: "", 5: "the " * 25, 6: "--É  ß/x!", 7: " ".join(a.split()[5:16]), 8: prose(3, 400),
              9: "the end", 10: " ".join(a.split()[:5] + ["new"] + a.split()[5:12])}
+    items.append((8, " ".join("swapped" if k == 4 else w for k, w in enumerate(b.split()))))
     bench = spark.createDataFrame(items, "item_id long, text string")
     table = docs(list(texts.items()) + [(0, texts[0])])
     rows = positional_index.contamination(table, bench).collect()
-    want = brute(texts, items)
+    want, near = brute(texts, items), brute_near(texts, items, texts[0])
     assert len(rows) == 12
     for r in rows:
+        assert r["n_near"] == near[r["doc_id"]], r
         assert (r["n_words"], r["n_hit"], r["n_items"]) == want[r["doc_id"]], r
         assert r["contaminated"] == (r["n_hit"] > 0)
-    assert max(r["n_near"] for r in rows if r["doc_id"] == 10) > 0
+    assert near[10] > 2 and near[1] > 0  # a word put in; an item with a word that occurs nowhere
     clean = positional_index.clean(table, bench)
     assert clean.columns == table.columns
     assert sorted(r["doc_id"] for r in clean.collect()) == [k for k in texts if not want[k][1]]
