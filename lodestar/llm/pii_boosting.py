@@ -261,7 +261,8 @@ def redacted(docs: DataFrame) -> DataFrame:
     merged = stored(_islands(select_spans(docs), first).groupBy("id", "h").agg(F.sort_array(
         F.collect_list(F.struct("from", "to", "best.kind"))).alias("spans")), "pii-redactions")
     rows = packed(docs, _id=F.col("doc_id"), _h=F.xxhash64("text"))
-    full = rows.join(merged, rows._id.eqNullSafe(merged.id) & (rows._h == merged.h), "left")
+    # spans grow with the rows: the same join at every size, no broadcast of what happens to be small
+    full = rows.join(merged.hint("merge"), rows._id.eqNullSafe(merged.id) & (rows._h == merged.h), "left")
     text = F.col("_row")["text"]
 
     def piece(span, i):
