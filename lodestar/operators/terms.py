@@ -7,11 +7,11 @@ works on that much smaller table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.scores import chi2_score
+from ..functions.scores import chi2_log_p, chi2_score
 from ..functions.text import distinct_terms, tokens
 from .ordering import top_k_per_group
 from .skew import anti_join, lookup_join
@@ -123,36 +123,59 @@ def chi2_report_lines(top: DataFrame, category_col: str = "category") -> DataFra
             .select(F.concat_ws("\t", category_col, "_terms").alias("line")))
 
 
+# χ² sums are added as integers of this many binary places: exact in any order, so ties stay ties
+PLACES = 52
+
+
+def _fixed(share: Column) -> Column:
+    """A share of at most 1 in binary places, rounded down."""
+    return F.floor(share * float(1 << PLACES)).cast("long")
+
+
 def chi2_overall(counts: DataFrame, docs: DataFrame, label_col: str = "category") -> DataFrame:
     """χ² of each term's count, as a categorical feature with level 0, against the label.
 
     From sparse counts (one row per document and term with its ``tf``) only. With
-    O documents of level v and label c: N · Σ O² / (n_v · g_c) − N. The zero level is
-    filled in from the label totals: Σ over labels of (g − s)² / g equals
-    N − 2·df + Σ s² / g, where s counts the label's documents that hold the term.
+    O documents of level v and label c: N · Σ O² / (n_v · g_c) − N. In the zero level a
+    label of g documents, s of them with the term, has g − s; labels without the term are
+    wholly in it and add up to one share.
     """
     n = docs.agg(F.count("*")).scalar()
     labels = docs.agg(F.count_distinct(label_col)).scalar()
     sizes = docs.groupBy(label_col).agg(F.count("*").alias("g"))
     cells = lookup_join(counts.groupBy("term", "tf", label_col).agg(F.count("*").alias("o")),
                         sizes, [label_col])
-    squares = F.col("o") * F.col("o") / F.col("g")
-    # (term, level) then (term, label): both are small per term
-    by_level = (cells.groupBy("term", "tf").agg(F.sum("o").alias("n_v"), F.sum(squares).alias("sq"))
-                .groupBy("term").agg(F.sum(F.col("sq") / F.col("n_v")).alias("seen"),
-                                     F.sum("n_v").alias("df"),
-                                     F.count("*").alias("levels")))
+    # (term, level) then (term, label): windows of at most one row per label and level
+    o, g, n_v = (F.col(c).cast("double") for c in ("o", "g", "n_v"))
+    level = W.partitionBy("term", "tf")
+    by_level = (cells.withColumn("n_v", F.sum("o").over(level))
+                .withColumn("share", _fixed(o * o / (n_v * g)))
+                .groupBy("term").agg(F.sum("share").alias("seen"), F.count_distinct("tf").alias("levels")))
+    s, zero = F.col("s").cast("double"), F.col("n_zero").cast("double")
     by_label = (cells.groupBy("term", label_col, "g").agg(F.sum("o").alias("s"))
-                .groupBy("term").agg(F.sum(F.col("s") * F.col("s") / F.col("g")).alias("ssg")))
-    n_zero = n - F.col("df")
-    zero = F.when(n_zero > 0, (n - 2 * F.col("df") + F.col("ssg")) / n_zero).otherwise(F.lit(0.0))
-    levels = F.col("levels") + F.when(n_zero > 0, 1).otherwise(0)
+                .withColumn("df", F.sum("s").over(W.partitionBy("term")))
+                .withColumn("n_zero", n - F.col("df"))
+                .withColumn("share", F.when(zero > 0, _fixed((g - s) * (g - s) / (zero * g))).otherwise(0))
+                .groupBy("term", "df", "n_zero").agg(F.sum("share").alias("unseen"), F.sum("g").alias("met")))
+    rest = (n - F.col("met")).cast("double")
+    places = (F.col("seen") + F.col("unseen")
+              + F.when(zero > 0, _fixed(rest / zero)).otherwise(0) - (1 << PLACES))
+    levels = F.col("levels") + F.when(zero > 0, 1).otherwise(0)
     return by_level.join(by_label, "term").select(
-        "term", "df", (n * (F.col("seen") + zero) - n).alias("chi2"),
+        "term", "df", (n.cast("double") * places.cast("double") / float(1 << PLACES)).alias("chi2"),
         ((levels - 1) * (labels - 1)).cast("long").alias("dof"))
 
 
-def chi2_top_terms_overall(scores: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` terms over all labels by statistic, then term."""
-    ordered = scores.where(F.col("dof") > 0).withColumn("chi2", F.round("chi2", 6))
-    return ordered.orderBy(F.desc("chi2"), F.asc("term")).limit(k)
+def chi2_top_terms_overall(scores: DataFrame, k: int, by: str = "chi2") -> DataFrame:
+    """Best ``k`` terms over all labels by ``chi2`` or by p-value (``p``), then by term.
+
+    Terms have different degrees of freedom, so the two orders differ. p-values are compared by
+    their logarithm, column ``log_p``, because they underflow.
+    """
+    ordered = scores.where(F.col("dof") > 0)
+    if by == "chi2":
+        return ordered.orderBy(F.desc("chi2"), F.asc("term")).limit(k)
+    if by != "p":
+        raise ValueError(by)
+    return (ordered.withColumn("log_p", chi2_log_p(F.col("chi2"), F.col("dof")))
+            .orderBy(F.asc("log_p"), F.asc("term")).limit(k))

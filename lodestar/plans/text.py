@@ -14,7 +14,7 @@ from .registry import query
 
 TOP_K = 200
 
-# the delimiters once more, as alternatives, for the SQL side
+# Fixed value: the delimiters once more, as alternatives, for the SQL side
 _SPLIT = r"""\s|\d|\.|!|\?|,|;|:|\(|\)|\[|]|\{|}|-|_|"|`|~|#|&|\*|%|\$|\|/"""
 
 _STOP = ", ".join(f"'{w}'" for w in STOPWORDS)
@@ -124,25 +124,56 @@ def chi2_report_lines(t):
     return terms.chi2_report_lines(_top(t))
 
 
-@query(f"""with {_TF},
+_ONE = "4503599627370496"  # 2 ** 52
+_OVERALL = f"""{_TF},
     n as (select count(*) as n, count(distinct category) as k from reviews),
     gc as (select category, count(*) as g from reviews group by all),
     pos as (select term, tf as lvl, category, count(*) as o from tfs group by all),
-    dfs as (select term, sum(o) as df from pos group by all),
-    zero as (select term, 0 as lvl, category, g - coalesce(sum(o), 0) as o
-             from dfs cross join gc left join pos using (term, category) group by term, category, g),
-    cells as (select * from pos union all select * from zero),
-    lvls as (select term, lvl, sum(o) as n_v from cells group by all having sum(o) > 0),
-    sums as (select c.term, sum(c.o::double * c.o / (l.n_v * gc.g)) as s, count(distinct c.lvl) as levels
-             from cells c join lvls l on l.term = c.term and l.lvl = c.lvl
-             join gc on gc.category = c.category group by c.term)
-    select term, df::bigint as df, round(n * s - n, 6) as chi2, ((levels - 1) * (k - 1))::bigint as dof
-    from sums join dfs using (term), n where (levels - 1) * (k - 1) > 0
+    dfs as (select term, sum(o) as df, n - sum(o) as n0 from pos, n group by term, n),
+    seen as (
+        select term, sum(floor((o::double * o) / (n_v::double * g) * {_ONE}::double)::bigint) as places,
+            count(distinct lvl) as levels
+        from (select *, sum(o) over (partition by term, lvl) as n_v from pos) join gc using (category)
+        group by term),
+    zero as (
+        select term, sum(floor(case when met = 0 then 0 else share end * {_ONE}::double)::bigint) as places
+        from (
+            select term, 1 as met, (g - s)::double * (g - s) / (n0::double * g) as share
+            from (select term, category, sum(o) as s from pos group by all)
+                join gc using (category) join dfs using (term) where n0 > 0
+            union all
+            select term, 1, (n - sum(g))::double / n0 as share
+            from (select distinct term, category from pos) join gc using (category) join dfs using (term), n
+            where n0 > 0 group by term, n, n0)
+        group by term),
+    scored as (
+        select term, df::bigint as df,
+            n::double * (seen.places + coalesce(zero.places, 0) - {_ONE})::double / {_ONE}::double as chi2,
+            ((levels + (n0 > 0)::int - 1) * (k - 1))::bigint as dof
+        from seen join dfs using (term) left join zero using (term), n)"""
+
+
+@query(f"""with {_OVERALL} select term, df, chi2, dof from scored where dof > 0
     order by chi2 desc, term limit 4000""")
 def chi2_top_terms_overall(t):
     return terms.chi2_top_terms_overall(terms.chi2_overall(_counts(t), _docs(t)), 4000)
 
 
+# the p-value once more: its continued fraction above the mean, else one less the lower series
+_LOG_P = """case when x <= 0 then 0 when x > a + 1 then
+        a * ln(x) - x - lgamma(a) - ln(list_reduce(
+            [x + 2 * (80 + floor(12 * sqrt(a))) + 1 - a] || [i::double for i in range((80 + floor(12 * sqrt(a)))::bigint, 0, -1)],
+            lambda f, i: x + 2 * i - 1 - a - i * (i - a) / f))
+    else ln(1 - list_sum([exp(-x + (a + i) * ln(x) - lgamma(a + i + 1)) for i in range(0, 400)])) end"""
+
+
+@query(f"""with {_OVERALL}, halved as (select *, dof / 2.0::double as a, chi2 / 2 as x from scored where dof > 0)
+    select term, df, chi2, dof, round({_LOG_P}, 6) as log_p from halved order by {_LOG_P}, term limit 4000""")
+def chi2_top_terms_by_p(t):
+    best = terms.chi2_top_terms_overall(terms.chi2_overall(_counts(t), _docs(t)), 4000, by="p")
+    return best.withColumn("log_p", F.round("log_p", 6))
+
+
 @query(f"""with {_CELLS}, scores as materialized (
         select *, (a::double * d - b::double * c) * (a::double * d - b::double * c)
             / nullif((a + b)::double * (a + c) * (b + d) * (c + d), 0) as chi2 from cells)
@@ -257,3 +288,10 @@ def classify_decision_tree(t):
 @query()
 def classify_linear_svm(t):
     return _predictions(t, "svm")
+
+
+@query()
+def tuned_decision_tree(t):
+    """The published grid of 32 trees with the F1 of each on rows that its training left out."""
+    flagged = features.hash_split(_texts(t), "review_id")
+    return classification.grid_search(flagged, "review_id", "review_text", "category", "decision_tree")

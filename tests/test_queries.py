@@ -10,7 +10,8 @@ from lodestar.plans import ORACLE, QUERIES
 from tools.compare import canonical, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-ROWS_ONLY = {"classify_decision_tree", "classify_linear_svm"}
+MODELS = {"classify_decision_tree", "classify_linear_svm"}
+ROWS_ONLY = MODELS | {"tuned_decision_tree"}
 
 
 @pytest.fixture(scope="module")
@@ -37,7 +38,7 @@ def test_entry(spark):
     assert df.count() == 800
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(MODELS))
 def test_model_queries(spark, name):
     df = QUERIES[name](spark, SF_DIR)
     found = df.collect()
