@@ -12,37 +12,38 @@ def _owner_key(df):
     return df.withColumn("userid", F.col("owneruserid"))
 
 
-@query("""select p.posttypeid, count(p.id) as n_posts, count(c.id) as n_comments
-    from posts p, comments c, users u
-    where c.postid = p.id and u.id = p.owneruserid and u.reputation > 100
-    and not exists (select * from postlinks l where l.relatedpostid = p.id)
-    group by p.posttypeid""")
+@query("""with talk as (select postid, count(*) as n from comments group by postid),
+    pointed_at as (select distinct relatedpostid as id from postlinks),
+    trusted as (select id as owneruserid from users where reputation > 100)
+    select posttypeid, count(*) as n_posts, sum(n)::bigint as n_comments, max(n) as most_comments
+    from posts semi join trusted using (owneruserid) anti join pointed_at using (id) join talk on postid = posts.id
+    group by posttypeid""")
 def anti_join_count(t):
-    """Comments are counted per post before they meet the posts."""
+    """Discussed posts of owners above a reputation that no link points at, and their comments.
+
+    Comments are counted per post before they meet the posts, so every post is one row.
+    """
     linked = t.postlinks.select(F.col("relatedpostid").alias("id"))
     known = t.users.where("reputation > 100").select(F.col("id").alias("owneruserid"))
-    counted = t.comments.groupBy(F.col("postid").alias("id")).agg(
-        F.count("*").alias("n_rows"), F.count("id").alias("n_comments"))
+    counted = t.comments.groupBy(F.col("postid").alias("id")).agg(F.count("*").alias("n"))
     posts = skew.semi_join(t.posts.select("id", "owneruserid", "posttypeid"), known,
                            ["owneruserid"], spread_by=["id"])
     return (posts.join(skew.keys_of(linked, ["id"]), "id", "left_anti").join(counted, "id")
-            .groupBy("posttypeid").agg(F.sum("n_rows").alias("n_posts"),
-                                       F.sum("n_comments").alias("n_comments")))
+            .groupBy("posttypeid").agg(F.count("*").alias("n_posts"), F.sum("n").alias("n_comments"),
+                                       F.max("n").alias("most_comments")))
 
 
-@query("""with kept as (select * from posts p where p.id not in (select relatedpostid from postlinks))
-    select posttypeid, count(k.id) as n_posts, count(c.id) as n_comments from kept k
-    join comments c on c.postid = k.id
-    join (select id from users where reputation > 100) v on v.id = k.owneruserid group by posttypeid""")
+@query("""with ages as (select tags, date_diff('year', u.creationdate, p.creationdate) as years
+        from posts p join users u on u.id = p.owneruserid where u.creationdate <= p.creationdate)
+    select tags, years, count(*) as n_posts from ages group by all""")
 def comma_join_sql(t):
-    """The same question as SQL text with a comma join."""
+    """Posts by tag and the owner's years of membership, as SQL text with a comma join."""
     return t.spark.sql("""
-        select p.posttypeid, count(p.id) as n_posts, count(c.id) as n_comments
-        from {posts} p, {comments} c, {users} u
-        where c.postid = p.id and u.id = p.owneruserid and u.reputation > 100
-        and not exists (select * from {postlinks} l where l.relatedpostid = p.id)
-        group by p.posttypeid""",
-                       posts=t.posts, comments=t.comments, users=t.users, postlinks=t.postlinks)
+        select tags, cast(year(written) - year(joined) as bigint) as years, count(*) as n_posts
+        from (select owneruserid, tags, creationdate as written from {posts}) entry,
+             (select id, creationdate as joined from {users}) member
+        where member.id = entry.owneruserid and joined <= written
+        group by tags, year(written) - year(joined)""", posts=t.posts, users=t.users)
 
 
 @query("""select b.id, b.name, b.class, u.reputation from badges b join users u on u.id = b.userid
@@ -82,14 +83,25 @@ def suffix_avg_join(t):
         "id", F.round("suffix_avg", 6).alias("suffix_avg"))
 
 
-@query("""select distinct p.id from posts p, comments c, users u, badges b
-    where c.postid = p.id and u.id = p.owneruserid and u.id = b.userid
-    and u.upvotes in (select max(upvotes) from users u2 where u2.creationdate > p.creationdate)
-    and exists (select 1 from postlinks l where l.relatedpostid > p.id)
-    and b.name like 'signup'""")
+# the best and the mean of upvotes among users that joined after a post was written
+_LATER = """days as (select creationdate as day, max(upvotes) as best, sum(upvotes) as total, count(*) as n
+        from users group by creationdate),
+    later as (select written, max(best) as best, sum(total)::double / sum(n) as mean
+        from (select distinct creationdate as written from posts) join days on day > written group by written)"""
+_LEADERS = f"""{_LATER},
+    welcomed as (select userid, count(*) as n_badges from badges where name = 'signup' group by userid),
+    talk as (select postid, count(*) as n_comments from comments group by postid),
+    leaders as (
+        select p.id, owneruserid, upvotes, n_badges, n_comments
+        from posts p join later on written = p.creationdate join users u on u.id = owneruserid and upvotes = best
+            join welcomed on userid = u.id join talk on postid = p.id
+        where p.id < (select max(relatedpostid) from postlinks))"""
+
+
+@query(f"with {_LEADERS} select id, owneruserid, upvotes from leaders")
 def top_upvoter_posts(t):
-    """Distinct posts whose owner has the most upvotes of all users created later."""
-    return _top_upvoter_posts(t).select("id")
+    """Discussed posts whose owner matches the best of all later users in upvotes, with both."""
+    return _top_upvoter_posts(t)
 
 
 def _top_upvoter_posts(t):
@@ -101,25 +113,22 @@ def _top_upvoter_posts(t):
                              ["owneruserid"], spread_by=["id"])
     best = _with_later_users(t, posts).where("upvotes = suffix_max")
     commented = skew.keys_of(t.comments.select(F.col("postid").alias("id")), ["id"])
-    return best.join(commented, "id", "left_semi").select("id", "owneruserid")
+    return best.join(commented, "id", "left_semi").select("id", "owneruserid", "upvotes")
 
 
-@query("""select p.id, count(*) as n from posts p, comments c, users u, badges b
-    where c.postid = p.id and u.id = p.owneruserid and u.id = b.userid
-    and u.upvotes in (select max(upvotes) from users u2 where u2.creationdate > p.creationdate)
-    and exists (select 1 from postlinks l where l.relatedpostid > p.id)
-    and b.name like 'signup' group by p.id""")
+@query(f"""with {_LEADERS} select owneruserid, count(*) as n_posts, sum(n_badges * n_comments)::bigint as n
+    from leaders group by owneruserid""")
 def top_upvoter_post_rows(t):
-    """The same posts with the number of rows of the plain join, one per comment and badge.
+    """Per owner the same posts, and the pairs of one of their comments and one of the owner's badges.
 
-    Both numbers are counted per key and multiplied.
+    Comments and badges are counted per key and multiplied; no pair is formed.
     """
     badges = (t.badges.where(F.col("name").like("signup"))
               .groupBy(F.col("userid").alias("owneruserid")).agg(F.count("*").alias("n_badges")))
     comments = t.comments.groupBy(F.col("postid").alias("id")).agg(F.count("*").alias("n_comments"))
     held = skew.salted_join(_top_upvoter_posts(t), badges, ["owneruserid"], spread_by=["id"])
-    return held.join(comments, "id").select(
-        "id", (F.col("n_badges") * F.col("n_comments")).alias("n"))
+    return held.join(comments, "id").groupBy("owneruserid").agg(
+        F.count("*").alias("n_posts"), F.sum(F.col("n_badges") * F.col("n_comments")).alias("n"))
 
 
 @query("""select h.id, (select count(*) from votes v where v.votetypeid = 3 and v.postid = h.postid)
@@ -132,14 +141,20 @@ def post_vote_gate(t):
             .select("id", F.coalesce("n_votes", F.lit(0)).alias("n_votes")))
 
 
-@query("""select distinct p.id, p.owneruserid, p.creationdate, p.posttypeid, p.tags
-    from users u, posthistory h, posts p, badges b
-    where u.id = h.userid and h.userdisplayname = u.displayname and p.id = h.postid
-    and b.userid = u.id and (lower(b.name) = 'signup' or lower(b.name) = 'error')
-    and (select avg(u2.upvotes) from users u2 where u2.creationdate > p.creationdate)
-        >= 4000 + 400 * (select count(*) from votes v where v.votetypeid = 3 and v.postid = h.postid)""")
+@query(f"""with {_LATER},
+    thirds as (select postid, count(*) as n_votes from votes where votetypeid = 3 group by postid),
+    holders as (select distinct userid from badges where lower(name) in ('signup', 'error')),
+    edited as (select distinct postid from posthistory h semi join holders using (userid)
+               join users u on u.id = h.userid and u.displayname = h.userdisplayname)
+    select p.id, posttypeid, coalesce(n_votes, 0) as n_votes
+    from posts p semi join edited on edited.postid = p.id left join thirds on thirds.postid = p.id
+        join later on written = p.creationdate
+    where mean >= 4000 + 400 * coalesce(n_votes, 0)""")
 def active_badge_posts(t):
-    """Every join only tests for existence, so all are semi joins and a post stays one row."""
+    """Posts edited by a badge holder whose later users average more upvotes than their votes demand.
+
+    Every join but that of the votes only tests for existence, so a post stays one row.
+    """
     holders = t.badges.where(F.lower("name").isin("signup", "error")).select("userid")
     users = t.users.select(F.col("id").alias("userid"), F.col("displayname").alias("userdisplayname"))
     active = skew.semi_join(users, holders, ["userid"])
@@ -147,7 +162,7 @@ def active_badge_posts(t):
     wanted = history.select(F.col("postid").alias("id"))
     counted = (t.votes.where("votetypeid = 3").groupBy(F.col("postid").alias("id"))
                .agg(F.count("*").alias("n_votes")))
-    posts = t.posts.join(skew.keys_of(wanted, ["id"]), "id", "left_semi").join(counted, "id", "left")
-    bar = 4000 + 400 * F.coalesce("n_votes", F.lit(0))
-    return (_with_later_users(t, posts).where(F.col("suffix_avg") >= bar)
-            .select("id", "owneruserid", "creationdate", "posttypeid", "tags"))
+    posts = (t.posts.join(skew.keys_of(wanted, ["id"]), "id", "left_semi").join(counted, "id", "left")
+             .withColumn("n_votes", F.coalesce("n_votes", F.lit(0))))
+    return (_with_later_users(t, posts).where(F.col("suffix_avg") >= 4000 + 400 * F.col("n_votes"))
+            .select("id", "posttypeid", "n_votes"))

@@ -113,11 +113,21 @@ def _distinct_ut(t):
     return relational.natural_join(t.u.distinct(), t.t.distinct())
 
 
-@query("""select distinct a, b, c, d from u natural join t
-    where (a, b, c) in (select a, b, c from r) and (b, c, d) in (select b, c, d from s)""")
+# which (a, b, c, d) of u and t are known to r by (a, b, c) and to s by (b, c, d)
+_WITNESSED = """known_r as (select distinct a, b, c from r), known_s as (select distinct b, c, d from s),
+    pairs as (select a, d, b, c from (select distinct * from u) left_side join (select distinct * from t) right_side
+              using (a, d)),
+    witnessed as (select p.a, p.b, p.c, p.d from pairs p
+                  semi join known_r using (a, b, c) semi join known_s using (b, c, d))"""
+
+
+@query(f"""with {_WITNESSED}, asked as (
+        select a, d, b, c from pairs where (a, b, c) in (from known_r) and (b, c, d) in (from known_s))
+    select a, d, count(*) as n_pairs from asked group by a, d""")
 def semi_join_in(t):
+    """How many (b, c) with known triples on both sides each (a, d) of the joined tables has."""
     with_r = skew.semi_join(_distinct_ut(t), t.r, ["a", "b", "c"])
-    return skew.semi_join(with_r, t.s, ["b", "c", "d"]).select("a", "b", "c", "d")
+    return skew.semi_join(with_r, t.s, ["b", "c", "d"]).groupBy("a", "d").agg(F.count("*").alias("n_pairs"))
 
 
 def _witnessed(t):
@@ -125,14 +135,6 @@ def _witnessed(t):
     return skew.semi_join(skew.semi_join(_distinct_ut(t), t.s, ["b", "c", "d"]), t.r, ["a", "b", "c"])
 
 
-# which (a, b, c, d) of u and t are known to r by (a, b, c) and to s by (b, c, d)
-_WITNESSED = """known_r as (select distinct a, b, c from r), known_s as (select distinct b, c, d from s),
-    pairs as (select a, d, b, c from (select distinct * from u) left_side join (select distinct * from t) right_side
-              using (a, d)),
-    witnessed as (select p.a, p.b, p.c, p.d from pairs p
-                  semi join known_r using (a, b, c) semi join known_s using (b, c, d))"""
-
-
 @query(f"with {_WITNESSED} select a, b, c, d from witnessed group by all")
 def semi_join_exists(t):
     return _witnessed(t).select("a", "b", "c", "d")

@@ -57,15 +57,17 @@ def join_avg_price(t):
             .select("category_id", F.round("avg_price", 6).alias("avg_price")))
 
 
-_SINGLE = """select buyer_id, brand from {oct} as oct where event_type = 'purchase'
-    and brand is not null group by buyer_id, brand having count(*) >= (
-        select count(brand) from {oct} as oct2
-        where event_type = 'purchase' and oct2.buyer_id = oct.buyer_id group by buyer_id)"""
+# a brand that is both the first and the last of its buyer's by name is the only one
+_SINGLE = """select mine.buyer_id, mine.brand, count(*) as n_bought from {oct} as mine
+    where mine.event_type = 'purchase' group by mine.buyer_id, mine.brand
+    having mine.brand = (select min(brand) from {oct} as low
+                         where low.event_type = 'purchase' and low.buyer_id = mine.buyer_id)
+       and mine.brand = (select max(brand) from {oct} as high
+                         where high.event_type = 'purchase' and high.buyer_id = mine.buyer_id)"""
 
 
-@query("""select buyer_id, brand from oct where event_type = 'purchase' and brand is not null
-    group by buyer_id, brand having count(*) >= (select count(brand) from oct oct2
-        where oct2.event_type = 'purchase' and oct2.buyer_id = oct.buyer_id)""")
+@query("""select buyer_id, min(brand) as brand from oct where event_type = 'purchase' and buyer_id is not null
+    group by buyer_id having count(distinct brand) = 1""")
 def single_brand_buyers(t):
     return relational.single_value_keys(t.oct, "buyer_id", "brand",
                                         F.col("event_type") == "purchase")
@@ -74,7 +76,7 @@ def single_brand_buyers(t):
 @query("""with c as (select buyer_id, brand, count(*) as n from oct
         where event_type = 'purchase' and brand is not null group by all),
     a as (select buyer_id, sum(n) as total from c group by buyer_id)
-    select buyer_id, brand from c join a using (buyer_id) where n >= total""")
+    select buyer_id, brand, n as n_bought from c join a using (buyer_id) where n >= total""")
 def single_brand_buyers_sql(t):
     return t.spark.sql(_SINGLE, oct=t.oct)
 
