@@ -7,7 +7,7 @@ the left lands in one task. ``salted_join`` covers that case.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shuffle_width
@@ -83,6 +83,25 @@ def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "in
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
+def salt_table(spark: SparkSession, hot: dict[int, int]) -> DataFrame:
+    """(key_hash, salts): the hot keys of ``heavy_keys`` as a table; at most 2048 rows, often none."""
+    return spark.createDataFrame(list(hot.items()), "key_hash long, salts int")
+
+
+def dealt(df: DataFrame, on: list[str], table: DataFrame, spread_by: list[str]) -> DataFrame:
+    """``df`` with a column ``salt``: 0, or for rows of a hot key a number that a hash of the row chooses."""
+    place = F.pmod(F.xxhash64(*spread_by), F.col("salts")).cast("int")
+    return (df.withColumn("key_hash", F.xxhash64(*on)).join(F.broadcast(table), "key_hash", "left")
+            .withColumn("salt", F.coalesce(place, F.lit(0))).drop("key_hash", "salts"))
+
+
+def repeated(df: DataFrame, on: list[str], table: DataFrame) -> DataFrame:
+    """``df``, one row per key, with a row for each ``salt`` that ``dealt`` gives its key."""
+    last = F.coalesce(F.col("salts"), F.lit(1)) - 1
+    return (df.withColumn("key_hash", F.xxhash64(*on)).join(F.broadcast(table), "key_hash", "left")
+            .withColumn("salt", F.explode(F.sequence(F.lit(0), last))).drop("key_hash", "salts"))
+
+
 def keys_of(df: DataFrame, on: list[str]) -> DataFrame:
     """Distinct non-null keys; partial aggregation shrinks hot keys before the shuffle."""
     return df.select(*on).dropna().distinct()

@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import skew
 from ..session import scratch_path, shuffle_width
 from ..sources import generators, layout, readers
 from .registry import query
@@ -108,20 +107,23 @@ def dynamic_partition_insert(t):
 @query("""select posttypeid, count(*) as n, sum(reputation)::bigint as reputation
     from posts p join users u on u.id = p.owneruserid group by posttypeid""")
 def bucketed_join(t):
-    """Both tables in equal buckets on the join key: the join needs no shuffle.
-
-    A bucket is read by one task. Where one owner holds a large share of the posts the
-    salted join takes over.
-    """
+    """Posts, partitioned by type, and users in equal buckets: the join needs no shuffle at any skew."""
     posts = t.posts.select("id", F.col("owneruserid").alias("userid"), "posttypeid")
     users = t.users.select(F.col("id").alias("userid"), "reputation")
-    hot = skew.heavy_keys(posts, ["userid"])
-    if hot:
-        joined = skew.salted_join(posts, users, ["userid"], hot=hot, spread_by=["id"])
-    else:
-        buckets = shuffle_width(t.spark)
-        left = layout.write_bucketed(posts, _table_name("posts_bucketed"), "userid", buckets)
-        right = layout.write_bucketed(users, _table_name("users_bucketed"), "userid", buckets)
-        joined = left.join(right.hint("merge"), "userid")
+    names = tuple(_table_name(n) for n in ("posts_bucketed", "users_bucketed", "posts_layout"))
+    left, right = layout.write_bucketed_pair(posts, users, ["userid"], shuffle_width(t.spark), names, ["id"],
+                                             partition_cols=["posttypeid"])
+    joined = left.join(right.hint("merge"), ["userid", "salt"])
     return joined.groupBy("posttypeid").agg(F.count("*").alias("n"),
                                             F.sum("reputation").alias("reputation"))
+
+
+@query("select id, displayname, reputation from users where reputation <= 100 or id % 2 = 0")
+def replaced_table(t):
+    """A table made, replaced twice and read by name: the last content, and one table."""
+    table = _table_name("users_current")
+    users = t.users.select("id", "displayname", "reputation")
+    layout.replace_table(users.where("reputation > 100"), table)
+    layout.replace_table(users, table)
+    # reads the table that it replaces
+    return layout.replace_table(t.spark.table(table).where("reputation <= 100 or id % 2 = 0"), table)

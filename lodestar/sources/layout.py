@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import dealt, heavy_keys, repeated, salt_table
 from ..session import scratch_path
 
 
@@ -50,7 +51,7 @@ def create_partitioned_table(spark: SparkSession, table: str, columns: str, part
               f"PARTITIONED BY ({partition}) LOCATION '{location}'")
 
 
-def write_bucketed(df: DataFrame, table: str, col: str, n: int,
+def write_bucketed(df: DataFrame, table: str, col: str | list[str], n: int,
                    partition_cols: list[str] | None = None) -> DataFrame:
     """Managed layout: ``n`` buckets on ``col``, sorted inside, optionally partitioned too.
 
@@ -58,7 +59,8 @@ def write_bucketed(df: DataFrame, table: str, col: str, n: int,
     Tables bucketed alike join on ``col`` without a shuffle.
     """
     spark = df.sparkSession
-    writer = (df.repartition(n, col).write.bucketBy(n, col).sortBy(col).format("parquet")
+    cols = [col] if isinstance(col, str) else col
+    writer = (df.repartition(n, *cols).write.bucketBy(n, *cols).sortBy(*cols).format("parquet")
               .option("path", scratch_path(spark, table)))
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
@@ -66,6 +68,54 @@ def write_bucketed(df: DataFrame, table: str, col: str, n: int,
     return spark.table(table)
 
 
+def write_bucketed_pair(left: DataFrame, right: DataFrame, on: list[str], n: int, names: tuple[str, str, str],
+                        spread_by: list[str], partition_cols: list[str] | None = None,
+                        hot: dict[int, int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Two tables in equal buckets that join without a shuffle, whatever the skew of the key in ``left``.
+
+    Buckets have two levels, the key and a salt. Only a hot key of ``left`` has salts above 0: its rows
+    lie in as many buckets as they would fill, and its one row of ``right`` in each of these. Which keys
+    have how many is kept in the layout table, the last of ``names``, so rows that come later can be
+    dealt alike. Join on ``[*on, "salt"]``. The layout is the same at every size; without hot keys the
+    layout table is empty. ``left`` may be partitioned too.
+    """
+    spark = left.sparkSession
+    found = heavy_keys(left, on) if hot is None else hot
+    path = scratch_path(spark, names[2])
+    salt_table(spark, found).coalesce(1).write.option("path", path).saveAsTable(names[2])
+    table = spark.table(names[2])
+    keys = [*on, "salt"]
+    return (write_bucketed(dealt(left, on, table, spread_by), names[0], keys, n, partition_cols),
+            write_bucketed(repeated(right, on, table), names[1], keys, n))
+
+
+def replace_table(df: DataFrame, table: str) -> DataFrame:
+    """``df`` as the new content of ``table``, made if it is missing.
+
+    Rows are written to a folder of their own first; then one catalog call points the table at it. A
+    reader that has planned its query goes on with the old files, a later one gets the new ones,
+    nobody a mixture; if writing fails the table is as before. Columns must stay the same, since a
+    table with others is another table.
+    """
+    spark = df.sparkSession
+    location = scratch_path(spark, table)
+    if not spark.catalog.tableExists(table):
+        df.write.format("parquet").option("path", location).saveAsTable(table)
+        return spark.table(table)
+    now = [(f.name, f.dataType) for f in spark.table(table).schema]
+    if now != [(f.name, f.dataType) for f in df.schema]:
+        raise ValueError(f"{table} has other columns: {now}")
+    df.write.parquet(location)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Takes a table out of the catalog, if it is there. Its files stay for readers that have begun."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def write_lines(df: DataFrame, path: str) -> None:
     """One text line per row of a single string column."""
     df.write.text(path)
