@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path, shuffle_width
-from ..sources import generators, layout, readers
+from ..sources import csv_ranges, generators, layout, readers
 from .registry import query
 
 _KEEP_SPACE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -40,10 +40,29 @@ def typed_csv_load(t):
     layout.write_csv(t.documents.select("doc_id", "lang", cell.alias("n_chars"), "text"), path,
                      escape='"', **_KEEP_SPACE)
     schema = T.StructType.fromDDL("doc_id long, lang string, n_chars long, text string")
-    return readers.read_csv_typed(t.spark, path, schema, multi_line=True).withColumn(
+    return csv_ranges.read_csv_ranges(t.spark, path, schema, **_KEEP_SPACE).withColumn(
         "n_chars", F.coalesce("n_chars", F.lit(-1)))
 
 
+@query("""select case when doc_id % 10 = 3 then null else doc_id end as doc_id, length(text) as n_chars,
+    doc_id % 10 = 3 as set_aside from documents""")
+def csv_quarantine(t):
+    """Texts with line breaks; of every tenth row the id is no number, and it is set aside with its raw text."""
+    path = scratch_path(t.spark, "quarantine-csv")
+    bad = F.col("doc_id") % 10 == 3
+    cell = F.when(bad, F.lit("none")).otherwise(F.col("doc_id").cast("string"))
+    layout.write_csv(t.documents.select(cell.alias("doc_id"), F.length("text").alias("n_chars"), "text"), path,
+                     escape='"', **_KEEP_SPACE)
+    schema = T.StructType.fromDDL("doc_id long, n_chars long, text string")
+    read = csv_ranges.read_csv_ranges(t.spark, path, schema, keep_corrupt=True, **_KEEP_SPACE)
+    clean, aside = readers.split_corrupt(read)
+    rows = clean.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.lit(False).alias("set_aside"))
+    # what is set aside still has its text: after the two plain cells, with its quotes
+    raw = F.regexp_replace(F.regexp_extract(readers.CORRUPT, r"(?s)^[^,]*,[^,]*,(.*)$", 1), r'(?s)^"(.*)"$', "$1")
+    text = F.replace(raw, F.lit('""'), F.lit('"'))
+    return rows.unionAll(aside.select(F.lit(None).cast("long"), F.length(text).cast("long"), F.lit(True)))
+
+
 @query("""select event_id, month(ts) as month, cast(epoch(date_trunc('second', ts)) as bigint) as seconds
     from events where event_id % 11 <> 0""")
 def parse_timestamps(t):

@@ -1,10 +1,14 @@
 """Bucketed layouts with hot keys, replaced tables, upserts to storage, and large CSV files."""
 
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.operators import skew
-from lodestar.sources import layout
+from lodestar.sources import csv_ranges, layout, readers
 
 
 def plan_of(df):
@@ -53,3 +57,45 @@ def test_replacing_is_whole_or_nothing(spark):
     layout.drop_table(spark, table)
     layout.drop_table(spark, table)
     assert not spark.catalog.tableExists(table)
+
+
+# ---- large CSV files
+
+SCHEMA = T.StructType().add("id", T.LongType()).add("body", T.StringType()).add("n", T.IntegerType())
+
+
+def csv_file(tmp_path, rows, name="big.csv"):
+    with open(tmp_path / name, "w", newline="") as out:
+        writer = csv.writer(out, lineterminator="\n")
+        writer.writerow(["id", "body", "n"])
+        writer.writerows(rows)
+    return str(tmp_path / name)
+
+
+@pytest.mark.parametrize("split", ["97", "1000", "100000"])
+def test_one_file_is_read_by_many_tasks(spark, tmp_path, split):
+    rng = random.Random(split)
+    bits = ["plain", "a,b", 'say "x"', "two\nlines", "\n", "\n\n\n", "é\r\nß", '"', '""\n"', "x" * 300, "end "]
+    rows = [(k, "".join(rng.choice(bits) for _ in range(rng.randrange(1, 6))), k % 7) for k in range(400)]
+    paths = [csv_file(tmp_path, rows[:390]), csv_file(tmp_path, rows[390:], "small.csv"),
+             csv_file(tmp_path, [], "empty.csv")]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        lines = spark.read.text(paths[0])
+        read = csv_ranges.read_csv_ranges(spark, paths, SCHEMA, ignoreLeadingWhiteSpace="false",
+                                          ignoreTrailingWhiteSpace="false")
+        found = sorted((tuple(r) for r in read.collect()), key=lambda r: r[0])
+        tasks = lines.rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == rows
+    assert tasks > 5 or split == "100000"
+
+
+def test_bad_rows_have_a_table_of_their_own(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text('id,body,n\n1,"a\nb",5\nx,"c\nd",6\n2,e\n\n3,f,7,8\n4,g,9\n5,"cut off\n')
+    read = csv_ranges.read_csv_ranges(spark, str(path), SCHEMA, keep_corrupt=True)
+    clean, bad = readers.split_corrupt(read.persist())
+    assert sorted(tuple(r) for r in clean.collect()) == [(1, "a\nb", 5), (4, "g", 9)]
+    assert sorted(r[readers.CORRUPT] for r in bad.collect()) == ["2,e", "3,f,7,8", '5,"cut off', 'x,"c\nd",6']
