@@ -83,6 +83,23 @@ def assert_unique(df: DataFrame, key: list[str]) -> DataFrame:
     return df
 
 
+def enforced_unique(df: DataFrame, key: list[str]) -> DataFrame:
+    """``df`` with the rule that no key repeats built into its plan.
+
+    A write of the result checks and writes in one job: a repeated key fails a task, so the write is
+    never committed. Rows are combined by key before the shuffle, a repeated key to one row and its count.
+    """
+    others = [c for c in df.columns if c not in key]
+    rows = F.any_value(F.struct(*others)) if others else F.lit(None)
+    named = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in key])
+    message = F.concat(F.lit("key ("), named, F.lit(") occurs "), F.col("_n").cast("string"), F.lit(" times"))
+    held = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col("_n")).cast("long")
+    grouped = df.groupBy(*key).agg(rows.alias("_row"), F.count("*").alias("_n")).withColumn("_n", held)
+    # the count is part of a filter, so column pruning cannot drop the check
+    return grouped.where(F.col("_n") == 1).select(
+        *[F.col(c) if c in key else F.col("_row")[c].alias(c) for c in df.columns])
+
+
 def merge_keys(existing: DataFrame, incoming: DataFrame, key: list[str]) -> DataFrame:
     """Existing keys plus the distinct incoming ones that are missing.
 

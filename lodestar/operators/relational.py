@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import shuffle_width
 from .skew import checked_broadcast, semi_join
 
 
@@ -37,9 +38,21 @@ def natural_join_counted(tables: list[DataFrame], count_col: str = "n") -> DataF
     return reduce(step, tables[1:], multiplicities(tables[0], count_col))
 
 
-def bag_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Each row max(copies left - copies right, 0) times."""
-    return left.exceptAll(right)
+def bag_difference(left: DataFrame, right: DataFrame, block: int = 100_000) -> DataFrame:
+    """Each row of ``left`` as often as it occurs there beyond its number in ``right``; columns by position.
+
+    Both sides are counted first. What is left of a row is written out in blocks of copies, and the
+    blocks, not the copies, are dealt over the tasks: a row with millions of copies comes from many.
+    """
+    cols = left.columns
+    signed = left.select("*", F.lit(1).alias("_n")).union(
+        right.toDF(*cols).select(*cols, F.lit(-1).alias("_n")))
+    counted = signed.groupBy(*cols).agg(F.sum("_n").alias("_n")).where("_n > 0")
+    blocks = counted.select("*", F.explode(F.sequence(
+        F.lit(0), F.expr(f"(_n - 1) div {block}"))).alias("_block"))
+    copies = F.least(F.col("_n") - F.col("_block") * block, F.lit(block))
+    return (blocks.repartition(shuffle_width(left.sparkSession), *cols, "_block")
+            .select(*cols, F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).drop("_copy"))
 
 
 def exists_greater(left: DataFrame, lkey: str, right: DataFrame, rkey: str) -> DataFrame:

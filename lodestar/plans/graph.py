@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import graph, motif, paths
 from ..operators.ordering import ordered_limit
+from ..session import materialise, shuffle_width
+from ..sources import versions
 from .registry import query
 
 
@@ -162,21 +166,37 @@ def graph_merge_nodes(t):
     return graph.merge_keys(t.region.select(F.col("r_name").alias("name")), incoming, ["name"])
 
 
-_IN_COUNTRY = """select id as src, countries as country, 'IN_COUNTRY' as type from nodes
-    where label = 'Other' and countries is not null and countries not like '%;%'"""
+@query("select id, label, countries from nodes")
+def graph_unique_write(t):
+    """Nodes written under the rule that no id repeats: the write itself checks it."""
+    return materialise(graph.enforced_unique(t.nodes.select("id", "label", "countries"), ["id"]), "unique-nodes")
 
 
-def _in_country(t):
-    found = single_valued_countries(t)
-    edges = found.select(F.col("id").alias("src"), F.col("countries").alias("country"),
-                         F.lit("IN_COUNTRY").alias("type"))
-    known = edges.where("src % 2 = 0")
-    return graph.merge_keys(known, edges, ["src", "country", "type"])
+_IN_COUNTRY = """select id as src, countries as country, 'IN_COUNTRY' as type, 'node' as origin from nodes
+        where label = 'Other' and countries is not null and countries not like '%;%'"""
 
 
-@query(_IN_COUNTRY)
+def _in_country(t):
+    """Edges kept in storage: those of suppliers are there, then two upserts, the second of known edges."""
+    kind = F.lit("IN_COUNTRY").alias("type")
+    nations = F.broadcast(t.nation.select(F.col("n_nationkey").alias("s_nationkey"), "n_name"))  # 25 rows
+    known = t.supplier.join(nations, "s_nationkey").select(
+        (-F.col("s_suppkey")).alias("src"), F.col("n_name").alias("country"), kind, F.lit("supplier").alias("origin"))
+    found = single_valued_countries(t).select(
+        F.col("id").alias("src"), F.col("countries").alias("country"), kind, F.lit("node").alias("origin"))
+    table = versions.VersionedTable.create(
+        known, f"in_country_{uuid.uuid4().hex}", ["src", "country", "type"], shuffle_width(t.spark))
+    table.upsert(found)
+    table.upsert(known.where("src % 2 = 0").withColumn("origin", F.lit("supplier, checked")))
+    return table.read()
+
+
+@query(f"""{_IN_COUNTRY} union all
+    select -s_suppkey, n_name, 'IN_COUNTRY',
+        case when s_suppkey % 2 = 0 then 'supplier, checked' else 'supplier' end
+    from supplier join nation on n_nationkey = s_nationkey""")
 def graph_merge_edges(t):
-    """Country edges after the upsert; half of them are there already."""
+    """Country edges after two upserts to storage."""
     return _in_country(t)
 
 

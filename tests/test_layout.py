@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.operators import skew
-from lodestar.sources import csv_ranges, layout, readers
+from lodestar.operators import graph, relational, skew
+from lodestar.sources import csv_ranges, layout, readers, versions
 
 
 def plan_of(df):
@@ -99,3 +99,68 @@ def test_bad_rows_have_a_table_of_their_own(spark, tmp_path):
     clean, bad = readers.split_corrupt(read.persist())
     assert sorted(tuple(r) for r in clean.collect()) == [(1, "a\nb", 5), (4, "g", 9)]
     assert sorted(r[readers.CORRUPT] for r in bad.collect()) == ["2,e", "3,f,7,8", '5,"cut off', 'x,"c\nd",6']
+
+
+# ---- upserts and rules of storage
+
+def test_two_upserts_in_a_row(spark):
+    first = spark.createDataFrame([(k, "old", k) for k in range(40)] + [(None, "old", 0), (3, "older", 9)],
+                                  "k long, v string, n int")
+    table = versions.VersionedTable.create(first, "upserted", ["k"], 8)
+    files = table.files()
+    assert table.read().count() == 41
+    assert table.read().where("k = 3").first()["v"] == "older"  # larger than "old"
+    few = spark.createDataFrame([(5, "new", -1), (100, "new", 1), (100, "next", 0), (None, "new", 2)],
+                                "k long, v string, n int")
+    touched = table.upsert(few)
+    now = table.files()
+    assert 1 <= len(touched) <= 3
+    assert {k for k in now if now[k] != files.get(k)} == set(touched)
+    found = {r["k"]: (r["v"], r["n"]) for r in table.read().collect()}
+    assert len(found) == 42 and found[5] == ("new", -1) and found[100] == ("next", 0) and found[None] == ("new", 2)
+    assert found[6] == ("old", 6)
+    begun = table.read()
+    table.upsert(spark.createDataFrame([(5, "again", 7)], "k long, v string, n int"))
+    assert {r["k"]: r["v"] for r in table.read().collect()}[5] == "again"
+    assert {r["k"]: r["v"] for r in begun.collect()}[5] == "new"  # a reader keeps the list that it began with
+    assert table.upsert(few.limit(0)) == [] and table.read().count() == 42
+
+
+def test_upsert_into_an_empty_table_of_keys_only(spark):
+    none = spark.createDataFrame([], "a long, b string")
+    table = versions.VersionedTable.create(none, "keys_only", ["a", "b"], 4)
+    assert table.read().count() == 0
+    rows = spark.createDataFrame([(1, "x")] * 50 + [(2, "y"), (None, None)], "a long, b string")
+    table.upsert(rows)
+    table.upsert(rows)
+    assert sorted((tuple(r) for r in table.read().collect()), key=repr) == [(1, "x"), (2, "y"), (None, None)]
+
+
+def test_a_violating_write_leaves_nothing(spark):
+    good = spark.createDataFrame([(k, k % 2, f"v{k}") for k in range(100)] + [(None, 1, "n")], "a long, b long, v string")
+    layout.replace_table(graph.enforced_unique(good, ["a", "b"]), "ruled")
+    assert spark.table("ruled").count() == 101
+    assert {tuple(r) for r in spark.table("ruled").collect()} == {tuple(r) for r in good.collect()}
+    bad = good.unionAll(spark.createDataFrame([(7, 1, "v7")], good.schema))
+    with pytest.raises(Exception, match="key .7, 1. occurs 2 times"):
+        layout.replace_table(graph.enforced_unique(bad, ["a", "b"]), "ruled")
+    assert spark.table("ruled").count() == 101
+    with pytest.raises(Exception, match="occurs"):
+        layout.replace_table(graph.enforced_unique(bad.select("a", "b"), ["a", "b"]), "never_made")
+    assert not spark.catalog.tableExists("never_made")
+    # the check is not pruned away with the columns
+    with pytest.raises(Exception, match="occurs"):
+        graph.enforced_unique(bad, ["a", "b"]).agg(F.count("*")).collect()
+
+
+def test_copies_of_one_value_come_from_many_tasks(spark):
+    left = spark.range(1).select(F.lit("x").alias("v"), F.explode(F.sequence(F.lit(1), F.lit(1000))).alias("i")).select("v")
+    right = spark.createDataFrame([("x",)] * 30 + [("y",)], "w string")
+    out = relational.bag_difference(left, right, block=50)
+    assert out.count() == 970
+    tasks = out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    assert len(tasks) >= 4
+    both = spark.createDataFrame([(None, 1.0), (None, 1.0), ("a", None)], "s string, d double")
+    assert sorted(map(tuple, relational.bag_difference(both, both.limit(0)).collect()), key=repr) == sorted(
+        map(tuple, both.collect()), key=repr)
+    assert relational.bag_difference(both, both).count() == 0
