@@ -1,9 +1,11 @@
 """WARC archives from a table of pages: sorted, rolled by size, committed by rename and manifest.
 
-The key range is cut at fixed places chosen from byte counts, so the same table always gives the same
-files. A task writes a range in key order, one gzip member per record, to a temporary name, and
-renames each file when it is complete; a task that runs again writes the same bytes to the same names.
-Files count only if the manifest, written when all are done, lists them.
+Records are ordered by page id and payload digest. That order is cut wherever another RANGE_BYTES of payload
+are full, whatever gaps the ids have, so the same table always gives the same files. What a record refers to
+is found on ids and digests alone and travels beside the records, so a payload moves once. A task writes
+one range in order, one gzip member per record, to a temporary name, and renames each file when it is
+complete; a task that runs again writes the same bytes to the same names. Files count only if the manifest,
+written when all are done, lists them.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
+from bisect import bisect_right
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -18,14 +21,17 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.skew import salted_join
 from ..session import scratch_path
 from .common import stored, text_bytes
 
 ROLL_BYTES = 32 << 20
 RANGE_BYTES = 32 << 20
-CELLS = 1 << 14
+MOST_RANGES = 1 << 16  # beyond 2 TB of payload ranges grow instead, so their bounds stay a few MB
+KEYS_AT_ONCE = 1 << 22  # keys that one task puts in order to add up their bytes
+LEAST_HOT = 1 << 12
+ROW_BYTES = 64
 LEAST_SHARED = 100  # smaller payloads are stored again rather than referred to
-SALTS = 16
 DATE = "2024-01-01T00:00:00Z"
 READ_AT_ONCE = 1 << 20
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -96,64 +102,97 @@ class RollingFile:
             yield final, self._records, self._bytes, self._hash.hexdigest()
 
 
-def _ranges(slim: DataFrame) -> DataFrame:
-    """(cell, range): equal cells of the key range, joined to ranges of about RANGE_BYTES each."""
-    sizes = slim.groupBy("cell").agg(F.sum("size").alias("size"))  # at most CELLS + 1 rows
-    upto = F.sum("size").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
-    return sizes.withColumn("upto", upto).select(
-        "cell", F.expr(f"cast(coalesce(upto, 0L) div {RANGE_BYTES} as int)").alias("range"))
+def _bounds(keys: DataFrame, range_bytes: int = RANGE_BYTES, most: int = MOST_RANGES) -> list[tuple]:
+    """The least (page_id, digest) of every range but the first, in order; at most ``most`` ranges.
 
-
-def write_warc(pages: DataFrame, roll_bytes: int = ROLL_BYTES) -> tuple[str, DataFrame]:
+    A key belongs to the range in which the bytes before it end. Bytes before a key are those of the
+    parts before its part, which are as many rows as there are parts, and those before it in its part.
+    Where parts are cut does not change the sums.
+    """
+    weighed = keys.select("page_id", "digest", (F.col("n") * (F.col("size") + ROW_BYTES)).alias("bytes"))
+    count, total = weighed.agg(F.count("*"), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    width = max(range_bytes, -(-total // most))
+    parted = stored(weighed.repartitionByRange(count // KEYS_AT_ONCE + 1, "page_id", "digest")
+                    .withColumn("part", F.spark_partition_id()), "keys-in-parts")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parted.groupBy("part").agg(F.sum("bytes").alias("bytes")).select(
+        "part", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("start"))
+    inside = Window.partitionBy("part").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    upto = parted.withColumn("upto", F.coalesce(F.sum("bytes").over(inside), F.lit(0))).join(
+        F.broadcast(starts), "part").withColumn("range", F.expr(f"(start + upto) div {width}L"))
+    # an id and a digest order like the struct of both, in which a null id comes first
+    least = upto.groupBy("range").agg(F.min(F.struct("page_id", "digest")).alias("key"))
+    rows = least.select("key.page_id", "key.digest").collect()  # one per range
+    return sorted(_ordered(r["page_id"], bytes(r["digest"])) for r in rows)[1:]
+
+
+def _ordered(page_id: int | None, digest: bytes) -> tuple:
+    return page_id is not None, page_id or 0, digest
+
+
+def _range_of(bounds: list[tuple]):
+    """Column function: the number of the range that holds (page_id, digest)."""
+    @F.arrow_udf("int")
+    def found(page_ids: pa.Array, digests: pa.Array) -> pa.Array:
+        keys = zip(page_ids.to_pylist(), digests.to_pylist())
+        return pa.array([bisect_right(bounds, _ordered(*key)) for key in keys], pa.int32())
+    return found
+
+
+def _links(keys: DataFrame) -> DataFrame:
+    """(page_id, digest, refers_to) for every key that revisits a page with an equal payload."""
+    shared = keys.where(f"size >= {LEAST_SHARED}")
+    first = (shared.groupBy("digest").agg(F.count("*").alias("pages"), F.min("page_id").alias("refers_to"))
+             .where("pages > 1").drop("pages"))
+    return (salted_join(shared.select("page_id", "digest"), first, ["digest"], min_rows=LEAST_HOT,
+                        spread_by=["page_id"])
+            .where(~F.col("refers_to").eqNullSafe(F.col("page_id"))).select("page_id", "digest", "refers_to"))
+
+
+def write_warc(pages: DataFrame, roll_bytes: int = ROLL_BYTES,
+               range_bytes: int = RANGE_BYTES) -> tuple[str, DataFrame]:
     """Archives ``pages`` (page_id, url, html); returns the folder and the manifest.
 
     The manifest has name, records, bytes and sha256 of every file. Of records with equal payloads of
     at least LEAST_SHARED bytes the one with the smallest page_id is a response (every row with that
     page_id, if it repeats), the others revisit it. Null html is an empty payload; a null page_id sorts first
-    and is never referred to; a null url becomes a urn. An empty table gives no files.
+    and is never referred to; a null url becomes a urn. An empty table gives no files. Rows that share both
+    page id and payload lie in one range, however many they are; all others are cut by bytes.
     """
     spark = pages.sparkSession
     html = F.coalesce("html", F.lit(""))
-    rows = pages.select("page_id", "url", html.alias("html"), F.sha2(html, 256).alias("digest"),
-                        F.octet_length(html).cast("long").alias("size"))
-    slim = stored(rows.select("page_id", "digest", "size"), "page-digests")
-    ends = slim.agg(F.min("page_id").alias("low"), F.max("page_id").alias("high")).first()
-    low, width = ends["low"] or 0, -(-((ends["high"] or 0) - (ends["low"] or 0) + 1) // CELLS)
-    cell = F.coalesce(F.expr(f"(page_id - {low}L) div {width}L"), F.lit(-1))
-    ranges = stored(_ranges(slim.withColumn("cell", cell)), "key-ranges")  # CELLS + 1 rows at most
-    n_ranges = ranges.agg(F.count_distinct("range")).first()[0] or 1
-    # one row per repeated payload, repeated per salt: a payload of many pages is dealt over tasks
-    first = stored(slim.where(f"size >= {LEAST_SHARED}").groupBy("digest").agg(
-        F.count("*").alias("n"), F.min("page_id").alias("first")).where("n > 1")
-        .select("digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")),
-        "shared-payloads")
-    salted = rows.withColumns({"salt": F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int"),
-                               "cell": cell})
-    linked = (salted.join(first, ["digest", "salt"], "left")
-              .withColumn("refers_to", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first")))
-              .join(F.broadcast(ranges), "cell"))
+    rows = pages.select("page_id", F.unhex(F.sha2(html, 256)).alias("digest"), "url", html.alias("html"))
+    keys = stored(rows.groupBy("page_id", "digest").agg(
+        F.count("*").alias("n"), F.max(F.octet_length("html").cast("long")).alias("size")), "page-digests")
+    bounds = _bounds(keys, range_bytes)
+    range_of = _range_of(bounds)
     folder = scratch_path(spark, "warc")
     target, path = fs.FileSystem.from_uri(folder)
     target.create_dir(path)
 
     def run(batches):
-        out, of = None, None
+        out, link = None, None
         for batch in batches:
             done = []
-            range_, page, url, refers = (batch.column(k).to_pylist() for k in (0, 1, 2, 4))
-            for row, payload in enumerate(text_bytes(batch.column(3))):
-                if range_[row] != of:
-                    done += list(out.close()) if out else []
-                    of = range_[row]
-                    out = RollingFile(folder, f"range-{of:06d}", roll_bytes)
-                done += list(out.add(record(page[row], url[row], payload, refers[row])))
+            number, page, digest, url, refers = (batch.column(k).to_pylist() for k in (0, 1, 2, 3, 5))
+            for row, payload in enumerate(text_bytes(batch.column(4))):
+                if refers[row] is not None:  # says what the rows after it with this key refer to
+                    link = page[row], digest[row], refers[row]
+                    continue
+                out = out or RollingFile(folder, f"range-{number[row]:06d}", roll_bytes)
+                first = link[2] if link and link[:2] == (page[row], digest[row]) else None
+                done += list(out.add(record(page[row], url[row], payload, first)))
             yield _manifest(done)
         if out:
             yield _manifest(list(out.close()))
 
-    sorted_rows = (linked.select("range", "page_id", "url", "html", "refers_to")
-                   .repartition(n_ranges, "range").sortWithinPartitions("range", "page_id", "url"))
-    manifest = stored(sorted_rows.mapInArrow(
+    place = range_of("page_id", "digest").alias("range")
+    records = rows.select(place, "page_id", "digest", "url", "html", F.lit(None).cast("long").alias("refers_to"))
+    links = _links(keys).select(place, "page_id", "digest", F.lit(None).cast("string").alias("url"),
+                                F.lit(None).cast("string").alias("html"), "refers_to")
+    in_order = (records.unionByName(links).repartitionById(len(bounds) + 1, "range")
+                .sortWithinPartitions("page_id", "digest", F.col("refers_to").asc_nulls_last(), "url"))
+    manifest = stored(in_order.mapInArrow(
         run, "name string, records long, bytes long, sha256 string"), "warc-manifest")
     return folder, manifest
 
@@ -238,4 +277,4 @@ def read_warc(folder: str, manifest: DataFrame, with_payload: bool = False) -> D
     schema = ("page_id long, payload_bytes long, payload_digest string, record_type string, "
               "refers_to long, url string" + (", payload binary" if with_payload else ""))
     files = max(manifest.count(), 1)
-    return manifest.select("name").repartition(files, "name").mapInArrow(run, schema)
+    return manifest.select("name").repartitionByRange(files, "name").mapInArrow(run, schema)
