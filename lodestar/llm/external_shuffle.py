@@ -16,9 +16,10 @@ from .common import stored
 
 SEED = 20_240_607
 BUCKET_BYTES = 32 << 20
-# equal rows up to which one bucket takes them all; buckets up to which their starts are broadcast
+# equal rows up to which one bucket takes them all
 MOST_COPIES = 1 << 10
-MOST_BROADCAST = 1 << 20
+# beyond 32 TB of text buckets grow instead (100 MB at 100 TB), so their starts stay a table of 16 MB
+MOST_BUCKETS = 1 << 20
 
 
 def row_size(text: str) -> Column:
@@ -31,7 +32,7 @@ def _digest(docs: DataFrame) -> Column:
 
 
 def _bucket(digest: Column, copy: Column, buckets: int, seed: int) -> Column:
-    return F.pmod(F.xxhash64(digest, copy.cast("long"), F.lit(seed)), F.lit(buckets))
+    return F.pmod(F.xxhash64(digest, copy.cast("long"), F.lit(seed)), F.lit(buckets)).cast("int")
 
 
 def _scatter(docs: DataFrame, digests: DataFrame, buckets: int, seed: int) -> DataFrame:
@@ -75,8 +76,8 @@ def write_shuffled(docs: DataFrame, shards: int = 24, text_col: str = "text", se
 
     The result has all columns, ``shard`` (0 to shards - 1, row counts at most one apart) and ``slot``
     (the row's place in its shard, gapless from 0); each name gets underscores if taken. Files lie in the
-    shared folder, one directory per shard. A bucket holds about ``bucket_bytes`` of text and is shuffled
-    in one task's memory; raise it with the memory of executors. Nulls, ties and equal rows are rows like
+    shared folder, one directory per shard. A bucket holds about ``bucket_bytes`` of text and is one task,
+    shuffled in its memory; raise it with the memory of executors. Nulls, ties and equal rows are rows like
     others; an empty table gives no rows.
     """
     names = {"shard": "shard", "slot": "slot"}
@@ -87,11 +88,10 @@ def write_shuffled(docs: DataFrame, shards: int = 24, text_col: str = "text", se
     digests = stored(docs.select(_digest(docs).alias("d"), row_size(text_col).alias("size"))
                      .groupBy("d").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")), "digests")
     total = digests.agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).first()
-    rows, buckets = total["n"] or 0, -(-(total["bytes"] or 0) // bucket_bytes) or 1
-    first = stored(_bucket_starts(digests, buckets, seed), "bucket-starts")
-    if buckets <= MOST_BROADCAST:
-        first = F.broadcast(first)
-    dealt = _scatter(docs, digests, buckets, seed).repartition(buckets, "bucket")
+    rows, text_bytes = total["n"] or 0, total["bytes"] or 0
+    buckets = min(-(-text_bytes // bucket_bytes) or 1, MOST_BUCKETS)
+    first = F.broadcast(stored(_bucket_starts(digests, buckets, seed), "bucket-starts"))
+    dealt = _scatter(docs, digests, buckets, seed).repartitionById(buckets, "bucket")
     mixed = (dealt.groupBy("bucket").agg(F.shuffle(F.sort_array(F.collect_list("row")), seed).alias("rows"))
              .join(first, "bucket").select("first", F.posexplode("rows").alias("at", "row"))
              .withColumn("place", F.col("first") + F.col("at")))
