@@ -194,20 +194,26 @@ def _packed_groups(capacity: int):
     return run
 
 
+def dealt(live: DataFrame, groups: int, salt: int) -> DataFrame:
+    """``live`` with its group ``_g``, each group a partition of its own."""
+    group = F.pmod(F.xxhash64("bin", F.lit(salt)), F.lit(groups)).cast("int")
+    return live.withColumn("_g", group).repartitionById(groups, "_g")
+
+
 def placed(cut: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``cut`` (uid, length, ...) with sequence_id and offset for every piece.
 
-    Sequences hold at most ``capacity`` ids and have no gaps. A group is one task and never holds
-    many more than ``group_rows`` rows; how lengths are distributed changes only how full bins get.
+    Sequences hold at most ``capacity`` ids and have no gaps. A group is one task. Bins are dealt to groups by
+    hash, ``group_rows`` to each on average, and lengths play no part in that; how lengths are distributed
+    changes only how full bins get. An empty table gives no rows; repeated rows are pieces like others.
     """
     live = cut.where(F.col("length") < capacity).select(
         F.col("uid").alias("bin"), F.col("length").alias("fill"))
     rounds, count = [], live.count()
     while count:
         groups = -(-count // group_rows)
-        dealt = live.withColumn("_g", F.pmod(F.xxhash64("bin", F.lit(len(rounds))), F.lit(groups)))
         merged = stored(
-            dealt.repartition(groups, "_g").select("bin", "fill")
+            dealt(live, groups, len(rounds)).select("bin", "fill")
             .mapInArrow(_packed_groups(capacity), "bin long, up long, offset long, fill long"),
             "packing")
         rounds.append(merged)
