@@ -1,15 +1,18 @@
 import os
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lodestar.llm import external_shuffle, residual_packing, url_automaton, warc_writer
+from lodestar.llm import external_shuffle, queries, residual_packing, url_automaton, warc_writer
 from tests.llm.conftest import prose
 
+SF_DIR = "/root/testdata/sf0.001"
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -43,6 +46,28 @@ def test_archives_round_trip(spark):
     assert warc_writer.read_warc(folder, none).count() == 0
 
 
+def test_ranges_follow_bytes_and_not_ids(spark):
+    far = [(k, "u", prose(k % 150, 60), "d", 1) for k in range(300)] + [(2**62, "u", prose(7, 60), "d", 1)]
+    far += [(None, f"v{k}", prose(k % 40, 60), "d", 1) for k in range(80)] + [(5, "w", "z" * 300, "d", 1)] * 3
+    table = pages(spark, far)
+    folder, manifest = warc_writer.write_warc(table, range_bytes=10_000)
+    files = manifest.collect()
+    assert 15 < len(files) < 30 and max(f["records"] for f in files) < 40
+    first = {}
+    for page, _, text, *_ in far:
+        if page is not None:
+            first[text] = min(page, first.get(text, page))
+    want = Counter((page, len(text), None if page == first[text] else first[text]) for page, _, text, *_ in far)
+    rows = warc_writer.read_warc(folder, manifest).collect()
+    assert Counter((r["page_id"], r["payload_bytes"], r["refers_to"]) for r in rows) == want
+    # a table that is dealt otherwise gives the same files
+    other = warc_writer.write_warc(table.repartition(7, "html"), range_bytes=10_000)[1]
+    assert {tuple(f) for f in other.collect()} == {tuple(f) for f in files}
+    keys = spark.createDataFrame([(k, bytes([k]), 1, 10) for k in range(50)],
+                                 "page_id long, digest binary, n long, size long")
+    assert len(warc_writer._bounds(keys, 1, most=8)) == 7
+
+
 def test_damage_is_found(spark):
     member = warc_writer.record(1, "http://a/", b"payload", None)
     import io
@@ -76,6 +101,23 @@ def test_shuffle_is_a_permutation_in_equal_shards(docs, odd):
     assert external_shuffle.write_shuffled(odd.limit(0), 7).count() == 0
 
 
+def test_a_bucket_is_a_task_of_its_own(docs):
+    table = docs([prose(k, 30) for k in range(300)]).select("doc_id", "text")
+    digests = table.groupBy(F.xxhash64("doc_id", "text").alias("d")).agg(F.count("*").alias("n"))
+    dealt = external_shuffle._scatter(table, digests, 40, 1).repartitionById(40, "bucket")
+    held = dealt.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("bucket").alias("n")).collect()
+    assert len(held) == 40 and {r["n"] for r in held} == {1}
+
+
+def test_fixed_columns_of_the_shuffle(spark):
+    import duckdb
+    want = duckdb.sql(f"select doc_id, strlen(coalesce(text, '')) + 8, coalesce(text, '') "
+                      f"from '{SF_DIR}/documents.parquet'").fetchall()
+    rows = queries.op5_external_shuffle(spark, SF_DIR).collect()
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"], r["law"], r["grown_shard"]) for r in rows) == Counter(
+        (doc, size, zlib.crc32(text.encode()), "rows", None) for doc, size, text in want)
+
+
 def test_shuffle_mixes(docs):
     rows = external_shuffle.write_shuffled(docs([prose(k, 30) for k in range(2000)]).drop("slot", "shard"), 4,
                                            bucket_bytes=60_000).collect()
@@ -145,6 +187,20 @@ def test_best_fit():
         assert (total > 0).sum() <= 1.23 * -(-sizes.sum() // 2048) or low > 1024
 
 
+def test_a_group_is_a_task_of_its_own(spark):
+    live = spark.range(5000).select(F.col("id").alias("bin"), F.lit(7).cast("long").alias("fill"))
+    held = residual_packing.dealt(live, 50, 3).groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count_distinct("_g").alias("groups"), F.count("*").alias("n")).collect()
+    assert len(held) == 50 and {r["groups"] for r in held} == {1} and max(r["n"] for r in held) < 150
+
+
+def test_packed_ids_have_their_checksums(docs, odd):
+    table = docs([(1000 + k, prose(k, 40 + k * 37 % 900)) for k in range(60)]).unionAll(odd)
+    rows = residual_packing.packed_sequences(table, BPE, 512, with_ids=True).collect()
+    for r in rows:
+        assert r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes())
+
+
 def test_packing_places_every_piece(docs, odd):
     table = docs([(1000 + k, prose(k, 40 + k * 37 % 900)) for k in range(300)]).unionAll(odd)
     cut = residual_packing.pieces(table, BPE, 512, with_ids=True)
