@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -10,7 +11,6 @@ from .graph import label_scan, typed
 from .skew import salted_join
 
 PAIR_BUDGET = 10_000_000
-MAX_HUBS = 256
 FIRST_GROUP = 16
 
 
@@ -21,49 +21,74 @@ def _light_cells(side1: DataFrame, side2: DataFrame, shared: DataFrame) -> DataF
         F.count("*").alias("n"), F.count_if(~F.col("bad")).alias("good"))
 
 
-def _hubs(side1: DataFrame, side2: DataFrame, shared: DataFrame, pair_budget: int) -> list:
-    """Shared nodes that would pair too many nodes, the largest ``MAX_HUBS`` at most."""
+def _hubs(side1: DataFrame, side2: DataFrame, shared: DataFrame, pair_budget: int) -> DataFrame:
+    """(e, c, bad, word, bit): shared nodes that would pair too many nodes, and their places in bitmaps.
+
+    Each country numbers its hubs in blocks of 64. There are at most edges / sqrt(pair_budget) hubs, for one
+    of a hub's degrees is above that root.
+    """
     first = side1.groupBy("e").agg(F.count("*").alias("_d1"))
     second = side2.groupBy("e").agg(F.count("*").alias("_d2"))
     product = F.col("_d1").cast("double") * F.col("_d2")
-    return (first.join(second, "e").join(shared, "e").where(product > pair_budget)
-            .orderBy(product.desc(), "e").limit(MAX_HUBS).select("e", "c", "bad").collect())
+    found = first.join(second, "e").where(product > pair_budget).select("e").join(shared, "e")
+    place = F.row_number().over(W.partitionBy("c").orderBy("e")) - 1
+    return materialise(found.withColumn("_place", place).select(
+        "e", "c", "bad", F.floor(F.col("_place") / 64).cast("int").alias("word"),
+        (F.col("_place") % 64).cast("int").alias("bit")), "hubs")
+
+
+def _bit() -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))
+
+
+def _in_hubs(side: DataFrame, node: str, hubs: DataFrame, group: str) -> tuple[DataFrame, DataFrame]:
+    """(node, group) of the nodes in hubs, and (group, c, word, m): bitmaps of their hubs.
+
+    Nodes in the same hubs are one group. A node's list has one entry for each block of 64 hubs.
+    """
+    blocks = (salted_join(side, hubs, ["e"], spread_by=[node]).groupBy(node, "c", "word")
+              .agg(F.bit_or(_bit()).alias("m")))
+    listed = blocks.groupBy(node).agg(F.array_sort(F.collect_list(F.struct("c", "word", "m"))).alias("_all"))
+    members = materialise(listed.withColumn(group, F.md5(F.to_json("_all"))), "in-hubs")
+    groups = members.groupBy(group).agg(F.first("_all").alias("_all"))
+    return members.select(node, group), groups.select(group, F.inline("_all"))
+
 
+def _couples(groups: DataFrame, group: str, hubs: DataFrame) -> DataFrame:
+    """(group, x, y): two hubs of a group in different countries, x with the mismatch."""
+    held = (groups.join(hubs, ["c", "word"]).where(F.col("m").bitwiseAND(_bit()) != 0)
+            .select(group, "e", "c", "bad"))
+    x = held.where("bad").select(group, F.col("e").alias("x"), F.col("c").alias("_c"))
+    y = held.select(group, F.col("e").alias("y"), "c")
+    return x.join(y, group).where(F.col("_c") != F.col("c")).select(group, "x", "y")
 
-def _hub_cells(side1: DataFrame, side2: DataFrame, hubs: list, light: DataFrame) -> DataFrame:
+
+def _hub_cells(side1: DataFrame, side2: DataFrame, hubs: DataFrame, light: DataFrame) -> DataFrame:
     """Meetings in hubs, for pairs that can match, without listing a hub's pairs.
 
     A pair that meets in a hub matches only if it meets somewhere else too. Either that
     is a light node, and the pair is in ``light``; or it is a second hub, and the pair is
-    found from two hubs that satisfy the condition, which makes it a true match. Hub
-    lists per node hold ``MAX_HUBS`` entries at most.
+    found from two hubs that satisfy the condition, which makes it a true match. Hubs are compared once
+    for two groups of nodes in the same hubs, by the set bits that their bitmaps share.
     """
-    spark = light.sparkSession
-    ids = [h["e"] for h in hubs]
-    facts = spark.createDataFrame([(h["e"], h["c"], h["bad"]) for h in hubs],
-                                  "e long, c string, bad boolean")
-    of1 = side1.where(F.col("e").isin(ids)).groupBy("i").agg(F.collect_set("e").alias("_h1"))
-    of2 = side2.where(F.col("e").isin(ids)).groupBy("o").agg(F.collect_set("e").alias("_h2"))
-    matching = {(a["e"], b["e"]) for a in hubs for b in hubs
-                if a["e"] < b["e"] and a["c"] != b["c"] and (a["bad"] or b["bad"])}
-    pairs = light.select("i", "o").distinct()
-    if matching:
-        couples = spark.createDataFrame(sorted(matching), "x long, y long")
-
-        def holding(nodes: DataFrame, node: str, hubs_col: str) -> DataFrame:
-            x = nodes.select(node, F.explode(hubs_col).alias("x"), hubs_col)
-            return (x.join(F.broadcast(couples), "x")
-                    .where(F.array_contains(F.col(hubs_col), F.col("y"))).select(node, "x", "y"))
-
-        both = holding(of1, "i", "_h1").join(holding(of2, "o", "_h2"), ["x", "y"])
-        pairs = pairs.unionByName(both.select("i", "o")).distinct()
-    pairs = materialise(pairs, "pairs")
-    common = F.array_intersect("_h1", "_h2")
-    with_first = salted_join(pairs, of1, ["i"])
-    with_both = salted_join(with_first, of2, ["o"], spread_by=["i"])
-    return (with_both.select("i", "o", F.explode(common).alias("e"))
-            .join(F.broadcast(facts), "e").groupBy("i", "o", "c")
-            .agg(F.count("*").alias("n"), F.count_if(~F.col("bad")).alias("good")))
+    of1, groups1 = _in_hubs(side1, "i", hubs, "g1")
+    of2, groups2 = _in_hubs(side2, "o", hubs, "g2")
+    alike = _couples(groups1, "g1", hubs).join(_couples(groups2, "g2", hubs), ["x", "y"]).select(
+        "g1", "g2").distinct()
+    by_hubs = alike.join(of1, "g1").join(of2, "g2")
+    met = light.select("i", "o").distinct()
+    by_light = salted_join(salted_join(met, of1, ["i"]), of2, ["o"], spread_by=["i"])
+    pairs = materialise(by_hubs.select("i", "o", "g1", "g2")
+                        .unionByName(by_light.select("i", "o", "g1", "g2")).distinct(), "pairs")
+    bad = hubs.groupBy("c", "word").agg(
+        F.bit_or(F.when(F.col("bad"), _bit()).otherwise(F.lit(0).cast("long"))).alias("_bad"))
+    both = F.col("m").bitwiseAND(F.col("_m2"))
+    counts = (pairs.select("g1", "g2").distinct().join(groups1, "g1")
+              .join(groups2.withColumnRenamed("m", "_m2"), ["g2", "c", "word"]).where(both != 0)
+              .join(bad, ["c", "word"]).groupBy("g1", "g2", "c")
+              .agg(F.sum(F.bit_count(both)).alias("n"),
+                   F.sum(F.bit_count(both.bitwiseAND(F.bitwise_not("_bad")))).alias("good")))
+    return pairs.join(counts, ["g1", "g2"]).select("i", "o", "c", "n", "good")
 
 
 def _parts(nodes: DataFrame, edges: DataFrame, type1: str, type2: str, label1: str, label2: str,
@@ -88,13 +113,13 @@ def _parts(nodes: DataFrame, edges: DataFrame, type1: str, type2: str, label1: s
 def _matches(side1: DataFrame, side2: DataFrame, shared: DataFrame, pair_budget: int) -> DataFrame:
     """Number of matches per (i, o)."""
     hubs = _hubs(side1, side2, shared, pair_budget)
-    if hubs:
-        rest = ~F.col("e").isin([h["e"] for h in hubs])
-        light = materialise(_light_cells(side1.where(rest), side2.where(rest), shared), "cells")
+    if hubs.isEmpty():
+        cells = _light_cells(side1, side2, shared)
+    else:
+        few = [side.join(hubs.select("e"), "e", "left_anti") for side in (side1, side2)]
+        light = materialise(_light_cells(*few, shared), "cells")
         cells = (light.unionByName(_hub_cells(side1, side2, hubs, light))
                  .groupBy("i", "o", "c").agg(F.sum("n").alias("n"), F.sum("good").alias("good")))
-    else:
-        cells = _light_cells(side1, side2, shared)
     total, good = F.sum("n"), F.sum("good")
     pairs = (total * total - F.sum(F.col("n") * F.col("n"))
              - (good * good - F.sum(F.col("good") * F.col("good"))))

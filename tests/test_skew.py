@@ -240,6 +240,26 @@ def test_motif_with_hubs_equals_brute_force(spark, budget):
     assert {(r["i"], r["o"]): r["n_matches"] for r in found.collect()} == brute_motif(nodes, edges)
 
 
+def test_motif_with_a_thousand_hubs(spark):
+    rng = random.Random(5)
+    nodes = ([(i, "I", None, None, None) for i in range(8)] + [(o, "O", None, None, None) for o in range(20, 28)]
+             + [(e, "E", f"C{e % 7}", "K1", "K2" if e % 5 == 0 else "K1") for e in range(100, 1140)])
+    edges = [(k, e, kind) for e in range(100, 1140) for kind, first in (("A", 0), ("B", 20))
+             for k in range(first, first + 8) if rng.random() < 0.4]
+    n = spark.createDataFrame(nodes, "id long, label string, countries string, "
+                                     "country_codes string, jurisdiction string")
+    e = spark.createDataFrame(edges, "src long, dst long, type string")
+    found = motif.shared_pair_motif(n, e, "A", "B", "I", "O", "E", pair_budget=0)
+    assert {(r["i"], r["o"]): r["n_matches"] for r in found.collect()} == brute_motif(nodes, edges)
+
+
+def test_hub_numbers_are_rows_of_a_table(spark):
+    side = spark.range(300).select(F.col("id").alias("i"), (F.col("id") % 150).alias("e"))
+    shared = spark.range(150).select(F.col("id").alias("e"), F.lit("C").alias("c"), (F.col("id") == 3).alias("bad"))
+    hubs = motif._hubs(side, side.withColumnRenamed("i", "o"), shared, 0).orderBy("e").collect()
+    assert [(h["word"], h["bit"]) for h in hubs] == [divmod(k, 64) for k in range(150)]
+
+
 def test_degree_product_is_not_listed(spark, rows):
     nodes = spark.createDataFrame([(1, "I", "x"), (2, "I", "x"), (3, "I", "y")],
                                   "id long, label string, name string")
