@@ -5,32 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .skew import salted_join
-
-CHUNK_ROWS = 10_000
-
+from .skew import salted_join, semi_join
 
 def embed_children(parent: DataFrame, child: DataFrame, key: str, child_key: str, as_col: str,
-                   chunk_rows: int | None = CHUNK_ROWS) -> DataFrame:
+                   page: Column | None = None) -> DataFrame:
     """Parents with their children as a sorted list of structs.
 
-    A parent with up to ``chunk_rows`` children is one document (``chunk`` 0). A larger
-    one becomes ceil(children / chunk_rows) documents of about that size, numbered by
-    ``chunk``: every child is kept and no task holds an unbounded list. With None every parent is
-    one document, whatever its size. Parents without children get an empty list.
+    Children of one parent and one ``page``, a number made from a child's own columns, are one document,
+    at every size; the number is its ``chunk``. A page that at most n children of a parent can share bounds
+    the lists by n. Without a page every parent is one document, whatever its size. Parents without
+    children get one document with an empty list and chunk 0.
     """
     columns = [c for c in child.columns if c != child_key]
-    if chunk_rows is None:
-        placed = child.withColumn("chunk", F.lit(0))
-    else:
-        sizes = child.groupBy(child_key).agg(
-            F.ceil(F.count("*") / F.lit(chunk_rows)).cast("int").alias("_chunks"))
-        large = sizes.where(F.col("_chunks") > 1)
-        # a hash of the place in the scan decides the chunk: equal children spread, and periodic ones too
-        numbered = child.withColumn("_row", F.xxhash64(F.monotonically_increasing_id()))
-        placed = (salted_join(numbered, large, [child_key], "left", spread_by=["_row"])
-                  .withColumn("chunk", F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
-                      F.pmod(F.col("_row"), F.col("_chunks")).cast("int"))))
+    placed = child.withColumn("chunk", F.lit(0) if page is None else page)
     lists = (placed.groupBy(F.col(child_key).alias(key), "chunk")
              .agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(as_col)))
     empty = F.array().cast(lists.schema[as_col].dataType)
@@ -39,9 +26,22 @@ def embed_children(parent: DataFrame, child: DataFrame, key: str, child_key: str
             .withColumn(as_col, F.coalesce(as_col, empty)))
 
 
+def sum_children(parent: DataFrame, child: DataFrame, key: str, child_key: str, field: str,
+                 out_col: str) -> DataFrame:
+    """Sum of a field over the children of each parent key, 0 without any; no list is built."""
+    per_key = child.groupBy(F.col(child_key).alias(key)).agg(F.sum(field).alias("_sum"))
+    return parent.select(key).join(per_key, key, "left").select(
+        key, F.coalesce("_sum", F.lit(0)).cast("long").alias(out_col))
+
+
+def children_of(parent: DataFrame, child: DataFrame, key: str, child_key: str, **skew) -> DataFrame:
+    """The rows that unnesting the documents of ``embed_children`` gives, straight from the children."""
+    return semi_join(child.withColumnRenamed(child_key, key), parent.select(key), [key], **skew)
+
+
 def sum_nested(documents: DataFrame, key: str, list_col: str, field: str,
                out_col: str) -> DataFrame:
-    """Sum of a field over the embedded list, folded in the row, then over the chunks."""
+    """Sum of a field over lists that are embedded already, folded in the row, then over the chunks."""
     folded = F.aggregate(list_col, F.lit(0).cast("long"),
                          lambda total, e: total + F.coalesce(e[field].cast("long"), F.lit(0)))
     return documents.groupBy(key).agg(F.sum(folded).alias(out_col))
@@ -66,9 +66,7 @@ def copies_available(parent: DataFrame, child: DataFrame, borrowed: DataFrame, k
 
     The children are summed before they meet their parent; no list is built.
     """
-    per_key = child.groupBy(F.col(child_key).alias(key)).agg(F.sum(field).alias("owned"))
-    owned = parent.select(key).join(per_key, key, "left").select(
-        key, F.coalesce("owned", F.lit(0)).cast("long").alias("owned"))
+    owned = sum_children(parent, child, key, child_key, field, "owned")
     out = borrowed.groupBy(F.col(borrowed_key).alias(key)).agg(F.count("*").alias("borrowed"))
     lent: Column = F.coalesce("borrowed", F.lit(0))
     return owned.join(out, key, "left").select(key, "owned", lent.alias("borrowed"),

@@ -50,6 +50,17 @@ def heavy_keys(df: DataFrame, keys: list[str], share: float | None = None,
             for entry in found["top"] or [] if entry["count"] > floor}
 
 
+def heavy_counted(counts: DataFrame, keys: list[str], count: str, share: float | None = None,
+                  min_rows: int = MIN_ROWS, width: int | None = None) -> dict[int, int]:
+    """``heavy_keys`` from a table with one row per key and its number of rows: exact, no pass over the rows."""
+    width = width or shuffle_width(counts.sparkSession)
+    share = share or hot_share(width)
+    rows = counts.agg(F.sum(count).alias("n")).first()["n"] or 0
+    floor = max(rows * share, min_rows)
+    found = counts.where(F.col(count) > floor).select(F.xxhash64(*keys).alias("key"), F.col(count).alias("n"))
+    return {r["key"]: salts_for(r["n"], rows, width) for r in found.orderBy(F.desc("n"), "key").collect()}
+
+
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
                 share: float | None = None, min_rows: int = MIN_ROWS,
                 width: int | None = None, hot: dict[int, int] | None = None,

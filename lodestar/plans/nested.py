@@ -8,30 +8,41 @@ from ..operators import nested
 from .registry import query
 
 
-def _documents(t, **chunks):
-    return nested.embed_children(t.book, t.edition, "id", "book", "editions", **chunks)
+PAGE_IDS = 100_000  # ids of editions to a page, so no page of a book holds more children
 
+_SHOWN = """count(e.edition) as n_editions, coalesce(string_agg(
+        concat(e.edition, ':', e.year, ':', e.owned), ' ' order by e.edition, e.year, e.owned), '') as editions"""
 
-@query("""select b.id, b.name, b.authors, 0 as chunk, count(e.edition) as n_editions,
-        coalesce(string_agg(concat(e.edition, ':', e.year, ':', e.owned), ' ' order by e.edition, e.year, e.owned), '')
-        as editions
-    from book b left join edition e on e.book = b.id group by b.id, b.name, b.authors""")
-def embed_children(t):
-    """The documents, one of each book at every size; the list is shown as text."""
+
+def _documents(t, page=None):
     shown = F.transform("editions", lambda e: F.concat_ws(":", e["edition"], e["year"], e["owned"]))
-    return _documents(t, chunk_rows=None).select(
+    return nested.embed_children(t.book, t.edition, "id", "book", "editions", page).select(
         "id", "name", "authors", "chunk", F.size("editions").cast("long").alias("n_editions"),
         F.array_join(shown, " ").alias("editions"))
 
 
+@query(f"""select b.id, b.name, b.authors, 0 as chunk, {_SHOWN}
+    from book b left join edition e on e.book = b.id group by b.id, b.name, b.authors""")
+def embed_children(t):
+    """The documents, one of each book at every size; the list is shown as text."""
+    return _documents(t)
+
+
+@query(f"""select b.id, b.name, b.authors, coalesce(e.edition // {PAGE_IDS}, 0)::bigint as chunk, {_SHOWN}
+    from book b left join edition e on e.book = b.id group by b.id, b.name, b.authors, e.edition // {PAGE_IDS}""")
+def embed_children_paged(t):
+    """A document for each book and page of edition ids, so that no list is larger than a page."""
+    return _documents(t, F.floor(F.col("edition") / PAGE_IDS))
+
+
 @query("select b.id, coalesce(sum(e.owned), 0)::bigint as owned from book b left join edition e on e.book = b.id group by b.id")
 def sum_nested(t):
-    return nested.sum_nested(_documents(t), "id", "editions", "owned", "owned")
+    return nested.sum_children(t.book, t.edition, "id", "book", "owned", "owned")
 
 
 @query("select book as id, edition, year::int as year, owned from edition where book in (select id from book)")
 def unnest_children(t):
-    return nested.unnest_children(_documents(t), "id", "editions")
+    return nested.children_of(t.book, t.edition, "id", "book", spread_by=["edition"])
 
 
 @query("""select b.id, b.who, b.book, b.from_date, p.name as who_name, p.address as who_address

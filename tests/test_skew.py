@@ -168,25 +168,29 @@ def test_single_value_keys(spark, rows):
     assert rows(relational.single_value_keys(df, "u", "b", F.lit(True))) == [(1, "a")]
 
 
-def test_large_parent_is_split_into_chunks(spark):
+def test_children_are_embedded_by_pages(spark):
     parent = spark.createDataFrame([(1, "p"), (2, "q"), (3, "none")], "id long, name string")
     child = spark.createDataFrame([(1, i % 5, i % 4) for i in range(100)] + [(2, 1, 3)],
                                   "pid long, e long, owned long")
-    docs = nested.embed_children(parent, child, "id", "pid", "list", chunk_rows=10).cache()
-    assert docs.where("id = 1").count() == 10
-    assert docs.agg(F.max(F.size("list"))).first()[0] <= 20
-    assert nested.unnest_children(docs, "id", "list").count() == 101
+    docs = nested.embed_children(parent, child, "id", "pid", "list", F.col("e")).cache()
+    assert {(r["id"], r["chunk"], len(r["list"])) for r in docs.collect()} == {
+        *((1, k, 20) for k in range(5)), (2, 1, 1), (3, 0, 0)}
+    apart = nested.unnest_children(docs, "id", "list")
+    straight = nested.children_of(parent, child, "id", "pid")
+    assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, straight.collect())) and apart.count() == 101
     owned = {r["id"]: r["n"] for r in nested.sum_nested(docs, "id", "list", "owned", "n").collect()}
     assert owned == {1: sum(i % 4 for i in range(100)), 2: 3, 3: 0}
+    sums = nested.sum_children(parent, child, "id", "pid", "owned", "n")
+    assert {r["id"]: r["n"] for r in sums.collect()} == owned
 
 
 def test_embedding_query_has_one_document_of_each_book(spark):
     book = spark.createDataFrame([(1, "p", "x"), (2, "q", "y")], "id long, name string, authors string")
-    edition = spark.range(nested.CHUNK_ROWS + 1).select(
+    edition = spark.range(10_001).select(
         F.lit(1).cast("long").alias("book"), F.col("id").alias("edition"), F.lit(2000).alias("year"),
         F.lit(1).alias("owned"))
     found = plans.embed_children(SimpleNamespace(book=book, edition=edition)).collect()
-    assert sorted((r["id"], r["chunk"], r["n_editions"]) for r in found) == [(1, 0, nested.CHUNK_ROWS + 1), (2, 0, 0)]
+    assert sorted((r["id"], r["chunk"], r["n_editions"]) for r in found) == [(1, 0, 10_001), (2, 0, 0)]
 
 
 def test_known_documents(spark):
