@@ -2,11 +2,14 @@
 
 Regular expressions propose spans, overlapping ones included. Those of the four base kinds that pass
 their check (Luhn, ranges, digit counts) are personal data. All other candidates are scored by
-gradient-boosted trees over format and context. Positive are those that overlap a base span or stand right
-after a hint word; negative those that fail a base check, are fragments of a longer word, or have a form
-that no hint word introduces. The rest is unlabelled: it is scored, but neither trains nor calibrates.
-The check itself is no feature. Cutoffs are calibrated on held-out documents, one for each generator. Everything is counted over the whole corpus: training
-rows are cells of equal features with their counts, of which there are at most about a million.
+gradient-boosted trees over format and neighbouring characters. Their labels come from evidence that is no
+feature: positive are candidates that overlap a span which passed its check, and those right after a hint
+word that fail no check; all others are negative. So the trees learn which formats are personal data, and a
+span without a hint word can be added, one after a hint word left out. Spans without a hint count as errors,
+so the precision is a lower bound where hint words are missing by chance. Cutoffs are calibrated on
+the half of the documents that did not train, one for each generator. Everything is counted over the whole
+corpus: training rows are cells of equal features with their counts, of which there are at most about a million.
+A candidate that is part of a longer word is no span; it neither trains nor is added.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ PATTERNS = {**BASE, **GENERATORS}
 NEEDS = {"email": "[@]", "address": "[@]", "phone": "[+]"}  # characters that a match must hold
 HINTS = "(?i)(?:tel|phone|call|mail|card|account|ip|host|key|token|secret|password)\\W{0,4}$"
 FORM = ("made_by", "digits", "letters", "marks", "dots", "plus", "at")
-FEATURES = (*FORM, "before", "after", "hint")
+FEATURES = (*FORM, "before", "after")
 PRECISION, LEAST_SPANS = 0.95, 30
 TREES, DEPTH = 12, 3
 
@@ -103,7 +106,8 @@ def _failed() -> Column:
 
 def _side(text: Column) -> Column:
     return (F.when(text == "", 0).when(text.rlike("[\\x20\\x09-\\x0D]"), 1)
-            .when(text.rlike("[\\p{L}\\p{N}]"), 2).otherwise(3))
+            .when(text.rlike("[\\p{L}\\p{N}]"), 2).when(text.isin("'", '"', "`"), 4)
+            .when(text.isin("=", ":"), 5).otherwise(3))
 
 
 def _features() -> dict[str, Column]:
@@ -149,33 +153,32 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def _cutoffs(scored: DataFrame) -> dict[float, float]:
-    """By generator, the lowest score from which on labelled held-out spans reach the precision."""
+    """By generator, the lowest score from which on held-out candidates reach the precision.
+
+    Both all of them and those that could be added, where one error is let pass.
+    """
     down = Window.partitionBy("made_by").orderBy(F.col("p").desc())  # at most one row per cell
-    sums = scored.groupBy("made_by", "p").agg(F.sum("held").alias("n"), F.sum("held_k").alias("k"))
-    found = (sums.select("made_by", "p", F.sum("n").over(down).alias("n"), F.sum("k").over(down).alias("k"))
-             .where((F.col("n") >= LEAST_SPANS) & (F.col("k") >= PRECISION * F.col("n")))
+    counts = ("held", "held_k", "free", "free_k")
+    sums = scored.groupBy("made_by", "p").agg(*[F.sum(c).alias(c) for c in counts])
+    found = (sums.select("made_by", "p", *[F.sum(c).over(down).alias(c) for c in counts])
+             .where((F.col("held") >= LEAST_SPANS) & (F.col("held_k") >= PRECISION * F.col("held"))
+                    & (F.col("free") - F.col("free_k") <= F.greatest(F.lit(1.0), (1 - PRECISION) * F.col("free"))))
              .groupBy("made_by").agg(F.min("p").alias("p")).collect())
     return {r["made_by"]: r["p"] for r in found}
 
 
 def _labelled_cells(others: DataFrame) -> DataFrame:
-    """Features with n labelled and k positive spans of training documents, held and held_k of the others."""
-    held = F.pmod(F.xxhash64("h"), F.lit(5)) == 0
+    """Features with n and k, all and positive candidates of training documents.
+
+    held and held_k count those of the other documents, free and free_k those of them that touch no base span.
+    """
+    held = F.pmod(F.xxhash64("h"), F.lit(2)) == 0
+    positive = F.col("near") | ((F.col("hint") == 1) & ~F.col("failed"))
     counted = lambda which: F.sum(F.when(which, 1).otherwise(0))
-    parts = {"": ~held, "held_": held}
-    cells = others.groupBy(*FEATURES).agg(*[c for name, part in parts.items() for c in (
-        counted(part).alias(name + "all"), counted(part & F.col("near")).alias(name + "near"),
-        counted(part & ~F.col("near") & F.col("failed")).alias(name + "failed"))])
-    fragment = (F.col("before") == 2) | (F.col("after") == 2)
-    hinted = (F.col("hint") == 1) & ~fragment
-    form = F.max(F.when(hinted, F.col("all")).otherwise(0)).over(Window.partitionBy(*FORM)) > 0
-    labelled = cells.withColumn("_form", form)
-    positive = lambda name: F.when(hinted, F.col(name + "all")).otherwise(F.col(name + "near"))
-    negative = lambda name: (F.when(hinted, 0).when(
-        fragment | ~F.col("_form"), F.col(name + "all") - F.col(name + "near")).otherwise(F.col(name + "failed")))
-    return labelled.select(
-        *FEATURES, (positive("") + negative("")).alias("n"), positive("").alias("k"),
-        (positive("held_") + negative("held_")).alias("held"), positive("held_").alias("held_k"))
+    parts = (("n", "k", ~held), ("held", "held_k", held), ("free", "free_k", held & ~F.col("near")))
+    return others.groupBy(*FEATURES).agg(*[
+        c for every, good, part in parts for c in (
+            counted(part).alias(every), counted(part & positive).alias(good))])
 
 
 def _scores(vectors: DataFrame, model) -> DataFrame:
@@ -188,11 +191,12 @@ def select_spans(docs: DataFrame) -> DataFrame:
     """(id, h, kind, start, end, base): the base spans and those that the trees add.
 
     Added spans touch no base span; of overlapping ones the best scored stays. Without both kinds of
-    labelled candidates nothing is learned and nothing added. A label after a hint word is weak: the
-    precision of the cutoffs is against such labels.
+    labels, or with fewer than ``LEAST_SPANS`` held-out candidates of a generator, nothing of it is added.
+    Labels by hint words are weak, and the precision of the cutoffs is against such labels.
     """
     found = stored(candidates(docs), "pii-candidates")
-    others = found.where(~F.col("kind").isin(*BASE))
+    whole = (F.col("before") != 2) & (F.col("after") != 2)
+    others = found.where(~F.col("kind").isin(*BASE) & whole)
     cells = stored(_labelled_cells(others), "pii-cells")
     base = found.where("base").select("id", "h", "kind", "start", "end", F.lit(True).alias("base"))
     both = cells.agg(F.sum("k").alias("k"), F.sum("n").alias("n")).first()
