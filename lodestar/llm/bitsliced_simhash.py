@@ -15,7 +15,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.skew import salted_join
@@ -26,7 +26,6 @@ SEED = 42
 SHINGLES_AT_ONCE = 1 << 16
 BLOCK_ROWS = 512
 MAX_BUCKET = 1 << 15
-TILE_ROWS = 256
 FULL = np.uint64(2**64 - 1)
 
 
@@ -117,17 +116,6 @@ def join_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             label[:] = up
 
 
-def _block_links(ids: np.ndarray, octets: np.ndarray, radius: int) -> tuple[list, list]:
-    label = np.arange(len(ids))
-    for i, j in close_pairs(octets, radius):
-        join_labels(label, i, j)
-    hung = np.flatnonzero(label != np.arange(len(ids)))
-    return ids[hung].tolist(), ids[label[hung]].tolist()
-
-
-EDGES = pa.schema([("a", pa.string()), ("b", pa.string())])
-
-
 def linked_in_buckets(radius: int):
     """Function for mapInArrow over (key, id, sig) sorted by key: links that join each bucket.
 
@@ -196,18 +184,6 @@ def _hot_keys(keyed: DataFrame, max_bucket: int) -> DataFrame:
                   .where(F.col("members") > max_bucket), "hot-buckets")
 
 
-def _tile_pairs(keyed: DataFrame, hot: DataFrame, max_bucket: int) -> DataFrame:
-    """The rows of hot buckets under a key for every pair of tiles: each two members share a key."""
-    tiles = F.ceil(F.col("members") / max_bucket).cast("int")
-    # a hot bucket holds over max_bucket rows, so there are few; its rows stay where they are
-    dealt = keyed.join(F.broadcast(hot), "key").select(
-        "key", "id", "sig", tiles.alias("n"), F.pmod(F.xxhash64("id", "key"), tiles).cast("int").alias("t"))
-    pairs = dealt.withColumn("u", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).where("t <> u")
-    return pairs.select(F.xxhash64("key", F.least("t", "u"), F.greatest("t", "u")).alias("key"), "id", "sig")
-
-
-# ---- 64-bit fingerprints at two bits: every link is found -------------------------------------
-
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  width: int = 3) -> DataFrame:
     """(id, fp): 16 hex digits for each row of ``docs``, over lower-cased words between blanks.
@@ -281,207 +257,26 @@ def fingerprint_components(docs: DataFrame, id_col: str = "doc_id", text_col: st
         "id", F.col("fp").alias("fingerprint"), "component_id")
 
 
-# ---- 256-bit signatures: similar documents, of which one stays ---------------------------------
-
-def sketches(docs: DataFrame, id_col: str, text_col: str, width: int, lanes: int,
-             bands: int, rows: int) -> DataFrame:
-    """(id, h, content, sig, keys): signature and bucket keys for each row of ``docs``.
-
-    ``h`` tells texts of one id apart and ``content`` is a 128-bit hash of the words. A key
-    joins the smallest of mixed shingle hashes, ``rows`` of them; texts without words have none.
-    """
-    def run(batches):
-        for batch in batches:
-            content, sigs, keys = [], [], []
-            for text in text_bytes(batch.column(2)):
-                words = text.translate(ASCII_LOWER).split()
-                content.append(xxhash.xxh128_hexdigest(b" ".join(words)))
-                sigs.append(signature(words, width, lanes).tobytes())
-                low = np.full(bands * rows, FULL)
-                for hashes in shingle_hashes(words, width):
-                    low = np.minimum(low, [mixed(hashes, 100 + k).min() for k in range(len(low))])
-                keys.append([xxhash.xxh64_intdigest(low[k * rows: (k + 1) * rows].tobytes(), k)
-                             - 2**63 for k in range(bands)] if words else [])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(content), pa.array(sigs, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["id", "h", "content", "sig", "keys"])
-
-    slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"),
-                       F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, f"id {slim.schema['id'].dataType.simpleString()}, h long, "
-                                "content string, sig binary, keys array<long>")
-
-
-def _similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sets (sorted, without repeats) have a Jaccard similarity of four fifths or more."""
-    if 5 * min(len(a), len(b)) < 4 * max(len(a), len(b)):
-        return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return 5 * both >= 4 * (len(a) + len(b) - both)
-
-
-def similar_in_tiles(radius: int, width: int):
-    """Function for mapInArrow over (key, id, label, sig, text) sorted by key: verified links.
+def first_of_each_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                            max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """Rows of ``docs`` without near copies: of each component the row with the smallest id stays.
 
-    Of the pairs of a key whose signatures are close, those of ``_similar`` shingle sets are links;
-    rows of one label count as linked already. Only a forest of them leaves a key.
+    Components are those of ``fingerprint_components``: shingles of three words, two bits. Null ids come last;
+    of rows that share an id the one with the smallest hash of its text is first, and identical rows leave
+    one row. Texts without words (null, empty, blank) have the fingerprint zero and are linked like any others.
+    An empty table gives an empty one.
     """
-    def links(batches):
-        key, rows = None, {}
-        for batch in batches:
-            fixed = zip(*(batch.column(k).to_pylist() for k in range(4)))
-            for (k, one, label, sig), text in zip(fixed, text_bytes(batch.column(4))):
-                if k != key:
-                    yield from _similar_links(rows, radius)
-                    key, rows = k, {}
-                if one not in rows:
-                    hashes = list(shingle_hashes(text.translate(ASCII_LOWER).split(), width))
-                    rows[one] = label, sig, np.unique(np.concatenate(hashes))
-        yield from _similar_links(rows, radius)
-
-    return links
-
-
-def _similar_links(rows: dict, radius: int):
-    if len(rows) < 2:
-        return
-    ids, (labels, sigs, sets) = list(rows), zip(*rows.values())
-    label = np.unique(labels, return_inverse=True)[1]
-    octets = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(ids), -1)
-    found = []
-    for i, j in close_pairs(octets, radius):
-        apart = label[i] != label[j]
-        for a, b in zip(i[apart].tolist(), j[apart].tolist()):
-            if label[a] != label[b] and _similar(sets[a], sets[b]):
-                label[label == label[b]] = label[a]
-                found.append((ids[a], ids[b]))
-    if found:
-        yield pa.RecordBatch.from_arrays([pa.array(end, pa.string()) for end in zip(*found)], names=["a", "b"])
-
-
-def _texts_of(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``members`` (_id, _h, ...) with their text.
-
-    A bitmap of hashed places keeps most other texts from being moved; the join decides.
-    """
-    slots = 1 << min(27, max(16, (16 * members.count()).bit_length()))
-    slot = F.pmod(F.xxhash64("_id", "_h"), F.lit(slots))
-    used = members.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(s & 63 as int))")).alias("bits")).toArrow()
-    taken = np.zeros(slots // 64, np.int64)
-    taken[used["w"].to_numpy()] = used["bits"].to_numpy()
-    bits = taken.tobytes()
-
-    def run(batches):
-        taken = np.frombuffer(bits, np.int64)
-        for batch in batches:
-            at = batch.column(0).to_numpy()
-            yield batch.filter(pa.array((taken[at >> 6] >> (at & 63) & 1).astype(bool)))
-
-    placed = docs.select(_never_null(id_col).alias("_id"), F.xxhash64(text_col).alias("_h"),
-                         F.col(text_col).alias("text"))
-    near = placed.select(slot.alias("s"), "_id", "_h", "text").mapInArrow(
-        run, "s long, _id string, _h long, text string")
-    return near.drop("s").join(members, ["_id", "_h"])
-
-
-def _similar_groups(docs: DataFrame, members: DataFrame, id_col: str, text_col: str, radius: int,
-                    width: int, tile_rows: int) -> DataFrame:
-    """(node, label): what verified links connect inside each group of ``members``.
-
-    ``members`` has (id, grp, sig, _id, _h). A group of at most ``tile_rows`` is compared as a whole.
-    A larger one is compared in tiles, then by one member of each part found, until that links
-    no more; then every pair across its parts is compared, the largest part with all others.
-    """
-    def tiles(n):
-        return F.ceil(F.col(n) / tile_rows).cast("int")
-
-    def per_group(rows, sizes):
-        return salted_join(rows, sizes, ["grp"], min_rows=4096, spread_by=["id"])
-
-    def links_of(rows):  # key, id, label, sig, text
-        return stored(rows.repartition("key").sortWithinPartitions("key").mapInArrow(
-            similar_in_tiles(radius, width), "a string, b string"), "similar-links")
-
-    def own(n):
-        return F.pmod(F.xxhash64("id"), tiles(n)).cast("int")
-
-    sized = per_group(members, members.groupBy("grp").agg(F.count("*").alias("n")))
-    texts = stored(_texts_of(docs, sized, id_col, text_col), "near-texts")
-    links = links_of(texts.select(F.xxhash64("grp", own("n")).alias("key"), "id",
-                                  F.col("id").alias("label"), "sig", "text"))
-    crowds = stored(sized.where(F.col("n") > tile_rows).select("id", "grp", "n"), "crowds")
-    if crowds.isEmpty():
-        return components(links)
-
-    def with_texts(keyed):
-        return keyed.join(texts.dropDuplicates(["id"]).select("id", "sig", "text"), "id").select(
-            "key", "id", "label", "sig", "text")
-
-    while True:
-        labels = components(links).select(F.col("node").alias("id"), "label")
-        parts = stored(crowds.join(labels, "id", "left").withColumn(
-            "label", F.coalesce("label", "id")), "parts")
-        sums = stored(parts.groupBy("grp", "label").agg(
-            F.min("id").alias("id"), F.count("*").alias("c")), "part-sizes")
-        groups = stored(sums.groupBy("grp").agg(
-            F.count("*").alias("r"), F.max_by("label", F.struct("c", "label")).alias("most"),
-            (F.sum("c") - F.max("c")).alias("s")).where("r > 1"), "open-groups")
-        if groups.isEmpty():
-            return components(links)
-        chosen = per_group(sums, groups).select(
-            F.xxhash64("grp", own("r")).alias("key"), "id", "label")
-        more = links_of(with_texts(chosen))
-        if more.isEmpty():
-            break
-        links = links.unionAll(more)
-    left = per_group(parts, groups)
-    outer = left.where("label <> most").withColumn("x", own("s")).withColumn(
-        "y", F.explode(F.sequence(F.lit(0), tiles("n") - 1)))
-    every = left.withColumn("y", own("n")).withColumn(
-        "x", F.explode(F.sequence(F.lit(0), tiles("s") - 1)))
-    keyed = [side.select(F.xxhash64("grp", "x", "y").alias("key"), "id", "label") for side in (outer, every)]
-    return components(links.unionAll(links_of(with_texts(keyed[0].union(keyed[1]).distinct()))))
-
-
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      width: int = 5, radius: int = 64, lanes: int = 4, bands: int = 8,
-                      rows: int = 2, max_bucket: int = MAX_BUCKET,
-                      tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Rows of ``docs`` without near copies: of each group the one with the smallest id stays.
-
-    Two texts are near copies if the Jaccard similarity of their sets of shingles (runs of five
-    lower-cased words, as 64-bit hashes) is 0.8 or more. Candidates share one of the ``bands`` keys and
-    differ in at most ``radius`` of 256 signature bits: 39 are expected at 0.8, with a deviation of 6.
-    Groups are what verified pairs connect. Texts with the same words are copies;
-    that holds for null and blank texts too, of which one row stays. Null ids come last.
-    Identical rows leave one row. A bucket above ``max_bucket`` is compared in pairs of tiles.
-    """
-    slim = stored(sketches(docs, id_col, text_col, width, lanes, bands, rows), "sketches")
-    place = F.struct(F.col("id").isNull().alias("last"), "id", "h")
-    contents = stored(slim.groupBy("content").agg(
-        F.min(place).alias("first"), F.min("sig").alias("sig"),
-        F.min("keys").alias("keys")), "contents")
-    keyed = contents.select(F.explode("keys").alias("key"), F.col("content").alias("id"), "sig")
-    hot = _hot_keys(keyed, max_bucket)
-    if not hot.isEmpty():
-        keyed = keyed.join(hot, "key", "left_anti").unionAll(_tile_pairs(keyed, hot, max_bucket))
-    near = components(_bucket_links(keyed, radius)).select(F.col("node").alias("content"), F.col("label").alias("grp"))
-    members = stored(near.join(contents, "content").select(
-        F.col("content").alias("id"), "grp", "sig", _never_null("first.id").alias("_id"),
-        F.col("first.h").alias("_h")), "near-members")
-    groups = _similar_groups(docs, members, id_col, text_col, radius, width, tile_rows)
-    staying = (contents.select("content", "first")
-               .join(groups.withColumnRenamed("node", "content"), "content", "left")
-               .groupBy(F.coalesce("label", "content").alias("label"))
-               .agg(F.min("first").alias("first"))
-               .select(_never_null("first.id").alias("_id"), F.col("first.h").alias("_h")))
-    rows_in = packed(docs, _id=_never_null(id_col), _h=F.xxhash64(text_col))
+    place = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
+    found = fingerprint_components(docs.select(place.alias("place"), F.col(text_col).alias("text")),
+                                   "place", "text", max_bucket)
+    first = F.col("component_id")
+    staying = found.select(_never_null(first["id"]).alias("_id"), first["h"].alias("_h")).distinct()
+    rows = packed(docs, _id=_never_null(F.col(id_col)), _h=F.xxhash64(text_col))
     order = Window.partitionBy("_id", "_h").orderBy(F.lit(0))
-    # the numbering uses the join's partitions: texts are moved once
-    return (rows_in.join(staying, ["_id", "_h"], "left_semi").withColumn("_n", F.row_number().over(order))
-            .where("_n = 1").select("_row.*"))
+    # the same join at every size; the numbering uses its partitions, so texts are moved once
+    return (rows.join(staying.hint("merge"), ["_id", "_h"], "left_semi")
+            .withColumn("_n", F.row_number().over(order)).where("_n = 1").select("_row.*"))
 
 
-def _never_null(id_col: str):
-    return F.coalesce(F.concat(F.lit("i"), F.col(id_col).cast("string")), F.lit(""))
+def _never_null(value: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("i"), value.cast("string")), F.lit(""))

@@ -81,18 +81,27 @@ def test_components_of_documents(odd):
     assert simhash.fingerprint_components(odd.limit(0)).count() == 0
 
 
-def test_one_of_each_group(docs, odd):
-    long = prose(9, 400).split()
-    copies = [" ".join(long[:k] + ["changed"] + long[k + 1:]) for k in range(20, 380, 30)]
-    half = " ".join(long[:150]) + " " + prose(77, 250)
-    texts = [*copies, half, prose(10, 400), prose(11, 400), prose(10, 400).upper()]
-    for max_bucket in (3, 1 << 15):
-        kept = simhash.one_of_each_group(docs(texts), max_bucket=max_bucket)
-        ids = sorted(r["doc_id"] for r in kept.collect())
-        assert ids[-3:] == [12, 13, 14] and (len(ids) == 4 or max_bucket == 3) and 0 in ids
-    assert kept.columns == docs(texts).columns
-    assert sorted(r["doc_id"] or -1 for r in simhash.one_of_each_group(odd).collect()) == [-1, 1, 4, 6, 7, 8]
-    assert simhash.one_of_each_group(odd.limit(0)).count() == 0
+@pytest.mark.parametrize("max_bucket", [1, 1 << 15])
+def test_first_of_each_component(docs, odd, max_bucket):
+    texts = []
+    for k in range(60):  # exact copies, copies in capitals, and some changed words in long texts
+        own = prose(100 + k % 40, 300 + 90 * k % 1500).split()
+        texts += [" ".join(own), " ".join(own).upper(), " ".join("new" if w == 40 else x for w, x in enumerate(own))]
+    texts += [None, "", " \n"]
+    table = docs(texts)
+    prints = {r["id"]: int(r["fp"], 16) for r in simhash.fingerprints(table).collect()}
+    pairs = [(i, j) for i in prints for j in prints if j < i and (prints[i] ^ prints[j]).bit_count() <= 2]
+    want = sorted(set(groups(len(texts), pairs)))
+    kept = simhash.first_of_each_component(table, max_bucket=max_bucket)
+    assert sorted(r["doc_id"] for r in kept.collect()) == want
+    assert kept.columns == table.columns and len(want) < 180 - 60
+    twice = simhash.first_of_each_component(table.unionAll(table), max_bucket=max_bucket)
+    assert sorted(r["doc_id"] for r in twice.collect()) == want
+    first = {r["doc_id"]: r for r in kept.collect()}
+    assert all(first[k]["text"] == texts[k] for k in want)
+    found = simhash.first_of_each_component(odd, max_bucket=max_bucket)
+    assert found.columns == odd.columns and {1, 4, 6} <= {r["doc_id"] for r in found.collect()}
+    assert simhash.first_of_each_component(odd.limit(0)).count() == 0
 
 
 def test_links_stay_inside_their_bucket():
@@ -102,37 +111,6 @@ def test_links_stay_inside_their_bucket():
     assert links == [("b", "a")]
 
 
-def test_members_of_a_hot_bucket_all_meet(docs):
-    texts = []
-    for k in range(150):  # the ends of a pair may lie in any two tiles
-        words = prose(100 + k, 300).split()
-        texts += [" ".join(words), " ".join("changed" if w % 60 == 30 else x for w, x in enumerate(words))]
-    kept = [sorted(r["doc_id"] for r in simhash.one_of_each_group(docs(texts), max_bucket=m).collect())
-            for m in (1, 1 << 15)]
-    assert kept[0] == kept[1] and len(kept[0]) < 200
-
-
-def test_groups_are_pairs_of_four_fifths(docs):
-    texts, sets = [], []
-    for k in range(40):  # families of five whose members differ in about 2 to 14 of 300 places
-        base = prose(300 + k, 300).split()
-        for v in range(5):
-            step = 300 // (1 + (k + 2 * v) % 7)
-            texts.append(" ".join(f"new{k}v{v}" if w % step == 7 * v else x for w, x in enumerate(base)))
-    for text in texts:
-        own = text.split()
-        sets.append({tuple(own[w:w + 5]) for w in range(len(own) - 4)})
-    alike = [len(sets[i] & sets[j]) / len(sets[i] | sets[j]) if i // 5 == j // 5 else 0
-             for i in range(200) for j in range(i)]
-    pairs = [(i, j) for i in range(200) for j in range(i)]
-    label = groups(200, [p for p, s in zip(pairs, alike) if s >= 0.8])
-    want = sorted(set(label))
-    assert len(want) > 60 and sum(0.7 <= s < 0.8 for s in alike) > 20 and sum(s >= 0.8 for s in alike) > 20
-    for tile_rows in (1, 2, 256):  # the small ones compare representatives, then all across parts
-        kept = simhash.one_of_each_group(docs(texts), tile_rows=tile_rows).collect()
-        assert sorted(r["doc_id"] for r in kept) == want
-
-
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
