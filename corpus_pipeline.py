@@ -22,8 +22,8 @@ def rule_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return bitsliced_simhash.one_of_each_group(docs)
+    """One document of each component of fingerprints at two bits or fewer."""
+    return bitsliced_simhash.first_of_each_component(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
