@@ -36,3 +36,11 @@ def test_rows_of_leading_posts_are_counted_post_by_post(tables, rows):
     found = qa.top_upvoter_post_rows(tables).select("id", "owneruserid", "n")
     # post 10 stands twice, with two comments and two badges
     assert rows(found) == [(10, 1, 8), (11, 1, 2), (13, 2, 1)]
+
+
+def test_edited_posts_keep_all_columns_and_stand_once(tables, rows):
+    found = qa.active_badge_posts(tables)
+    old = date(2000, 1, 1)
+    assert found.columns == ["id", "owneruserid", "creationdate", "posttypeid", "tags", "n_votes"]
+    # the editor of post 13 goes by another name there
+    assert rows(found) == [(10, 1, old, 1, "t", 0), (11, 1, old, 2, "u", 2), (12, 3, old, 2, "u", 0)]
