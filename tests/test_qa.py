@@ -1,11 +1,11 @@
-"""Queries over posts on rows made here: their grain and repeated keys."""
+"""Queries over posts and triples on rows made here: their grain and repeated keys."""
 
 from datetime import date
 from types import SimpleNamespace
 
 import pytest
 
-from lodestar.plans import qa
+from lodestar.plans import qa, relational
 
 
 @pytest.fixture
@@ -44,3 +44,17 @@ def test_edited_posts_keep_all_columns_and_stand_once(tables, rows):
     assert found.columns == ["id", "owneruserid", "creationdate", "posttypeid", "tags", "n_votes"]
     # the editor of post 13 goes by another name there
     assert rows(found) == [(10, 1, old, 1, "t", 0), (11, 1, old, 2, "u", 2), (12, 3, old, 2, "u", 0)]
+
+
+def test_known_pairs_are_rows(spark, rows):
+    def table(values, names):
+        return spark.createDataFrame(values, ", ".join(f"{n} long" for n in names))
+
+    t = SimpleNamespace(
+        u=table([(1, 5, 9), (1, 5, 9), (1, 6, 9), (1, None, 9)], "abd"),
+        t=table([(1, 9, 7), (1, 9, 7), (1, 9, 8)], "adc"),
+        r=table([(1, 5, 7), (1, 5, 8), (1, 6, 8), (1, None, 7)], "abc"),
+        s=table([(9, 5, 7), (9, 5, 7), (9, 6, 8), (9, None, 7)], "dbc"))
+    found = relational.semi_join_in(t)
+    assert found.columns == ["a", "b", "c", "d"]
+    assert rows(found) == [(1, 5, 7, 9), (1, 6, 8, 9)]
