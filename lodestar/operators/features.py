@@ -13,6 +13,9 @@ from ..functions.scores import inverse_doc_freq
 from ..session import materialise, shuffle_width
 from .skew import MIN_ROWS, hot_share, salted_join, salts_for
 
+# terms whose frequencies are broadcast, some 10 MB
+COMMON_TERMS = 200_000
+
 
 def hash_split(df: DataFrame, id_col: str, train_percent: int = 80, seed: int = 42) -> DataFrame:
     """Adds ``is_train``, decided by a hash of the id: the same rows on every run."""
@@ -28,23 +31,43 @@ def vocabulary_topk(counts: DataFrame, k: int) -> DataFrame:
             .orderBy(F.desc("n_occurrences"), F.asc("term")).limit(k))
 
 
+def common_floor(freq: DataFrame, most: int) -> int:
+    """Smallest power of two that at most ``most`` terms reach with their ``n_docs``."""
+    by_bits = freq.groupBy(F.length(F.bin("n_docs")).alias("bits")).agg(F.count("*").alias("n"))
+    floor = (1 << 63) - 1
+    for bits, n in sorted(by_bits.collect(), reverse=True):  # at most 63 rows
+        most -= n
+        if most < 0:
+            break
+        floor = 1 << (bits - 1)
+    return floor
+
+
 def tfidf_weights(counts: DataFrame, docs: DataFrame, share: float | None = None,
-                  min_rows: int = MIN_ROWS) -> DataFrame:
+                  min_rows: int = MIN_ROWS, common: int = COMMON_TERMS) -> DataFrame:
     """``tf · ln((N + 1) / (df + 1))`` per document and term.
 
-    The document frequencies are written once; they say exactly which terms are hot,
-    and those are salted in the join back to the counts.
+    Counts and document frequencies are written once, so texts are split once. The ``common`` terms
+    with most documents hold nearly all rows; they are broadcast and their rows stay where they are.
+    Only rows of the other terms are shuffled to their frequencies, salted where a term is hot. With
+    a ``share`` all rows are joined that way.
     """
     n = docs.agg(F.count("*")).scalar()
+    counts = materialise(counts, "term-counts")
     freq = materialise(counts.groupBy("term").agg(F.count("*").alias("n_docs")), "doc-freq")
-    rows = freq.agg(F.sum("n_docs")).first()[0] or 0
-    width = shuffle_width(docs.sparkSession)
-    floor = max(rows * (share or hot_share(width)), min_rows)
-    # fewer than 1 / share terms can pass this filter
-    hot = {r["h"]: salts_for(r["n_docs"], rows, width) for r in
-           freq.where(F.col("n_docs") > floor).orderBy(F.desc("n_docs"))
-           .select(F.xxhash64("term").alias("h"), "n_docs").collect()}
-    weighted = salted_join(counts, freq, ["term"], hot=hot)
+    least = common_floor(freq, 0 if share else common)
+    known, rare = freq.where(F.col("n_docs") >= least), freq.where(F.col("n_docs") < least)
+    weighted = counts.join(F.broadcast(known), "term")
+    rows = rare.agg(F.sum("n_docs")).first()[0] or 0
+    if rows:
+        width = shuffle_width(docs.sparkSession)
+        floor = max(rows * (share or hot_share(width)), min_rows)
+        # fewer than 1 / share terms can pass this filter
+        hot = {r["h"]: salts_for(r["n_docs"], rows, width) for r in
+               rare.where(F.col("n_docs") > floor).orderBy(F.desc("n_docs"))
+               .select(F.xxhash64("term").alias("h"), "n_docs").collect()}
+        others = counts.join(F.broadcast(known.select("term")), "term", "left_anti")
+        weighted = weighted.unionByName(salted_join(others, rare, ["term"], hot=hot))
     return weighted.withColumn("weight", F.col("tf") * inverse_doc_freq(n, F.col("n_docs")))
 
 

@@ -124,3 +124,22 @@ def test_hot_terms_are_salted_without_changing_weights(spark):
     salted = features.tfidf_weights(counts, df, share=0.2, min_rows=1)
     assert "_salt" in salted._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, salted.collect()))
+
+
+def test_texts_are_split_once_and_only_rows_of_rare_terms_move(spark, rows):
+    df = reviews(spark, [(i, "x", f"hot hot {'abcd'[i % 4] * 2} {chr(ord('A') + i)}x") for i in range(26)])
+    counts = terms.term_counts(df, "text", [])
+    all_common = features.tfidf_weights(counts, df)
+    some = features.tfidf_weights(counts, df, common=4)  # hot alone reaches 8; the others move
+    salted = features.tfidf_weights(counts, df, share=0.2, min_rows=1)
+    assert rows(all_common) == rows(some) == rows(salted) and all_common.count() == 78
+    assert "split(" not in some._jdf.queryExecution().optimizedPlan().toString()
+    plan = all_common._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert some.where("n_docs = 1").count() == 26
+
+
+def test_common_terms_are_cut_at_a_power_of_two(spark):
+    freq = spark.createDataFrame([("a", 9), ("b", 8), ("c", 7), ("d", 4), ("e", 3), ("f", 1)], "term string, n_docs long")
+    assert [features.common_floor(freq, k) for k in (0, 1, 2, 3, 4, 5, 6)] == [2 ** 63 - 1] * 2 + [8, 8, 4, 2, 1]
+    assert features.common_floor(freq.where("n_docs > 9"), 5) == 2 ** 63 - 1
