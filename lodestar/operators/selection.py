@@ -8,8 +8,12 @@ kept terms. Both are ordinary stages: they work in a ``Pipeline``, in a paramete
 from __future__ import annotations
 
 import os
+import sys
+from collections.abc import Iterator
 
-from pyspark import keyword_only
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -18,28 +22,49 @@ from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, Default
                              MLReadable, MLReader, MLWritable, MLWriter)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .terms import chi2_overall, chi2_top_terms_overall
 
+# executors need no copy of this module
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TERMS = "position int, term string, df long, chi2 double, dof long"
 
 
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow: of a batch of labels and token lists, the rows of each label that have a term so often."""
+    for batch in batches:
+        label = batch.column("label").dictionary_encode()
+        tokens = batch.column("tokens")
+        term = tokens.flatten().dictionary_encode()
+        if not len(term):
+            continue
+        row = np.repeat(np.arange(len(batch), dtype=np.int64), np.diff(tokens.offsets.to_numpy()))
+        n_terms = len(term.dictionary)
+        pair, tf = np.unique(row * n_terms + term.indices.to_numpy(), return_counts=True)
+        row, code = np.divmod(pair, n_terms)
+        most = int(tf.max()) + 1  # a cell's number is below rows x tokens of a batch
+        cell, n = np.unique((label.indices.to_numpy()[row] * n_terms + code) * most + tf, return_counts=True)
+        of, tf = np.divmod(cell, most)
+        of, code = np.divmod(of, n_terms)
+        yield pa.RecordBatch.from_arrays(
+            [label.dictionary.take(pa.array(of)), term.dictionary.take(pa.array(code)),
+             pa.array(tf, pa.int64()), pa.array(n, pa.int64())], ["label", "term", "tf", "n"])
+
+
 def ranked_terms(rows: DataFrame, tokens_col: str, label_col: str, k: int, by: str) -> DataFrame:
     """The best ``k`` terms of ``rows`` with their statistics; rows need no id.
 
-    Rows with a null label are left out. A row's tokens are sorted and counted inside the row.
+    Rows with a null label are left out. A row's tokens are counted inside the row, and a batch's rows are counted
+    by label, term and number of occurrences before they leave the task.
     """
     known = rows.where(F.col(label_col).isNotNull()).select(
         F.col(label_col).alias("label"), F.array_compact(tokens_col).alias("tokens"))
-    tokens, begin = F.col("tokens"), F.col("begin")
-    starts = F.filter(F.sequence(F.lit(0), F.size(tokens) - 1),
-                      lambda i: (i == 0) | (F.get(tokens, i) != F.get(tokens, i - 1)))
-    runs = F.transform(begin, lambda at, k: F.struct(
-        F.get(tokens, at).alias("term"),
-        (F.coalesce(F.get(begin, k + 1), F.size(tokens)) - at).cast("long").alias("tf")))
-    counts = (known.where(F.size(tokens) > 0).withColumn("tokens", F.sort_array(tokens))
-              .withColumn("begin", starts).select("label", F.inline(runs)))
-    return chi2_top_terms_overall(chi2_overall(counts, known, "label"), k, by)
+    schema = T.StructType([known.schema["label"], T.StructField("term", T.StringType()),
+                           T.StructField("tf", T.LongType()), T.StructField("n", T.LongType())])
+    counts = known.where(F.size("tokens") > 0).mapInArrow(_cells, schema)
+    return chi2_top_terms_overall(chi2_overall(counts, known, "label", F.sum("n")), k, by)
 
 
 class _Selection(HasInputCol, HasLabelCol, HasOutputCol):

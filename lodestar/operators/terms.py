@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scores import chi2_log_p, chi2_score
 from ..functions.text import distinct_terms, tokens
+from ..session import materialise
 from .ordering import top_k_per_group
 from .skew import anti_join, lookup_join
 
@@ -132,10 +133,12 @@ def _fixed(share: Column) -> Column:
     return F.floor(share * float(1 << PLACES)).cast("long")
 
 
-def chi2_overall(counts: DataFrame, docs: DataFrame, label_col: str = "category") -> DataFrame:
+def chi2_overall(counts: DataFrame, docs: DataFrame, label_col: str = "category",
+                 n_docs: Column | None = None) -> DataFrame:
     """χ² of each term's count, as a categorical feature with level 0, against the label.
 
-    From sparse counts (one row per document and term with its ``tf``) only. With
+    From sparse counts (one row per document and term with its ``tf``) only; if a row stands for several
+    documents, ``n_docs`` adds them up. With
     O documents of level v and label c: N · Σ O² / (n_v · g_c) − N. In the zero level a
     label of g documents, s of them with the term, has g − s; labels without the term are
     wholly in it and add up to one share.
@@ -143,8 +146,8 @@ def chi2_overall(counts: DataFrame, docs: DataFrame, label_col: str = "category"
     n = docs.agg(F.count("*")).scalar()
     labels = docs.agg(F.count_distinct(label_col)).scalar()
     sizes = docs.groupBy(label_col).agg(F.count("*").alias("g"))
-    cells = lookup_join(counts.groupBy("term", "tf", label_col).agg(F.count("*").alias("o")),
-                        sizes, [label_col])
+    cells = lookup_join(counts.groupBy("term", "tf", label_col).agg(
+        (F.count("*") if n_docs is None else n_docs).alias("o")), sizes, [label_col])
     # (term, level) then (term, label): windows of at most one row per label and level
     o, g, n_v = (F.col(c).cast("double") for c in ("o", "g", "n_v"))
     level = W.partitionBy("term", "tf")
@@ -166,16 +169,33 @@ def chi2_overall(counts: DataFrame, docs: DataFrame, label_col: str = "category"
         ((levels - 1) * (labels - 1)).cast("long").alias("dof"))
 
 
+def contenders_by_p(scores: DataFrame, k: int) -> DataFrame:
+    """The rows of ``scores`` that can be among the best ``k`` by p-value.
+
+    At the same degrees of freedom a larger χ² has the smaller p-value, so ``k`` clearly larger ones rule a row out. χ² is
+    compared in steps of a sixteenth of a power of two, one step apart, and counted above its mean only, where p-values
+    differ by more than their rounding.
+    """
+    step = F.floor(F.log2("chi2") * 16)
+    steps = scores.where(F.col("chi2") > F.col("dof")).groupBy("dof", step.alias("step")).agg(F.count("*").alias("n"))
+    floors = (steps.withColumn("n", F.sum("n").over(W.partitionBy("dof").orderBy(F.desc("step"))))
+              .where(F.col("n") >= k).groupBy("dof").agg((F.max("step") - 1).alias("floor")))
+    return (lookup_join(scores, floors, ["dof"], "left")
+            .where(F.col("floor").isNull() | (step >= F.col("floor"))).drop("floor"))
+
+
 def chi2_top_terms_overall(scores: DataFrame, k: int, by: str = "chi2") -> DataFrame:
     """Best ``k`` terms over all labels by ``chi2`` or by p-value (``p``), then by term.
 
     Terms have different degrees of freedom, so the two orders differ. p-values are compared by
-    their logarithm, column ``log_p``, because they underflow.
+    their logarithm, column ``log_p``, because they underflow; a p-value is a long sum, so only terms that can
+    be among the best get one.
     """
     ordered = scores.where(F.col("dof") > 0)
     if by == "chi2":
         return ordered.orderBy(F.desc("chi2"), F.asc("term")).limit(k)
     if by != "p":
         raise ValueError(by)
+    ordered = contenders_by_p(materialise(ordered, "chi2-scores"), k).select(*ordered.columns)
     return (ordered.withColumn("log_p", chi2_log_p(F.col("chi2"), F.col("dof")))
             .orderBy(F.asc("log_p"), F.asc("term")).limit(k))
